@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, mixing, packing, quality, sharding
+from . import fingerprints, langid, mixing, packing, quality, sharding
 from .common import id_crc, table
 
 
@@ -15,6 +15,25 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    both = fingerprints.with_next(fingerprints.fingerprints(docs, out="packed"), ["text", "packed"])
+    n = F.length("text")
+    cut = F.floor(n / 3).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
+    both = fingerprints.fingerprints(both.select("doc_id", n.cast("long").alias("n_chars"), "packed", "next_packed", edited.alias("edited")), "edited", "packed_edited")
+    packed, packed_edited = F.col("packed"), F.col("packed_edited")
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        F.lower(F.hex(packed)).alias("fingerprint"),
+        F.lower(F.hex(packed_edited)).alias("edited_fingerprint"),
+        fingerprints.likeness(packed, packed_edited).alias("near_edited"),
+        fingerprints.likeness(packed, F.col("next_packed")).alias("near_next"),
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.select("doc_id", "text", "lang"), id_crc() % 3 != 1)
@@ -44,6 +63,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op4_fingerprints": op4_fingerprints,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
     "op8_source_mixing": op8_source_mixing,
