@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, langid, mixing, packing, quality, sharding
+from . import fingerprints, langid, mixing, packing, quality, secrets, sharding
 from .common import id_crc, table
 
 
@@ -61,6 +61,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("path"), "text")
+    found = secrets.scan(docs, secrets.train(spark))
+    return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op4_fingerprints": op4_fingerprints,
@@ -68,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLES: dict[str, str] = {}
