@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, langid, mixing, packing, quality, secrets, sharding
+from . import fingerprints, langid, mixing, near, packing, quality, secrets, sharding
 from .common import id_crc, table
 
 
@@ -15,6 +15,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_join(table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     both = fingerprints.with_next(fingerprints.fingerprints(docs, out="packed"), ["text", "packed"])
@@ -69,6 +73,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_fingerprints": op4_fingerprints,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
