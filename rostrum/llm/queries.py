@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, langid, mixing, near, packing, quality, secrets, sharding
+from . import fingerprints, langid, mixing, near, packing, quality, repeats, secrets, sharding
 from .common import id_crc, table
 
 
@@ -54,6 +54,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
