@@ -211,14 +211,17 @@ def near_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = REC
     verified = materialize(dealt.mapInArrow(_verified(threshold), "a long, b long, links long"), "links")
     links = verified.where("links is not null").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     forest = components(verified.where("links is null").select("a", "b"))
-    sets = classes.select("id", *same, "copies", F.col("doc_id").alias("set_id")).join(links, "id", "left").join(forest, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    sets = classes.select("id", *same, "copies", F.col("doc_id").alias("set_id"), F.col("text_hash").alias("set_hash")).join(links, "id", "left").join(forest, "id", "left").withColumn("component", F.coalesce("component", "id"))
     named = materialize(sets, "named")
-    names = named.groupBy("component").agg(F.min("set_id").alias("class_id"))
-    named = named.join(names, "component").select(*same, "copies", "set_id", "links", "class_id")
-    return sketches.select("doc_id", *same).join(named, same).select("doc_id", "class_id", "set_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
+    names = named.groupBy("component").agg(F.min(F.struct(F.col("set_id").isNull().alias("none"), "set_id", "set_hash")).alias("m")).select("component", F.col("m.set_id").alias("class_id"), F.col("m.set_hash").alias("class_hash"))
+    named = named.join(names, "component").select(*same, "copies", "set_id", "links", "class_id", "class_hash")
+    return sketches.select("doc_id", *same).join(named, same).select("doc_id", "class_id", "set_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "class_hash")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class, the one of the least doc_id; of repeated rows, one."""
-    kept = near_join(docs, threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    """``docs`` with one document of each class, the one of the least doc_id (then of the least text hash,
+    nulls last); of repeated rows, one."""
+    kept = near_join(docs, threshold).select(F.col("class_id").alias("_id"), F.col("class_hash").alias("_hash")).distinct()
+    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_semi")
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return out if repeated.isEmpty() else out.dropDuplicates(["doc_id", "text"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, langid, mixing, near, packing, quality, repeats, secrets, sharding
+from . import fingerprints, langid, mixing, near, packing, quality, repeats, secrets, sharding, topk
 from .common import id_crc, table
 
 
@@ -15,8 +15,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantized(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.near_join(table(spark, sf_dir, "documents"))
+    return near.near_join(table(spark, sf_dir, "documents")).drop("class_hash")
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +82,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_fingerprints": op4_fingerprints,
     "op5_language_id": op5_language_id,
@@ -86,4 +92,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_exact_top_k": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where embedding is not null and vec_id is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id,
+                   cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+            from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+        ), ranked as (
+            select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+        )
+        select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
+    """,
+}
