@@ -114,7 +114,7 @@ class ByteTagger:
         sums = np.zeros((len(raw), len(self.labels)))
         sizes = np.array([len(r) for r in raw], np.int64)
         spans = -(-sizes // SPAN)
-        if spans.sum():
+        if self.labels and spans.sum():
             padded = np.frombuffer(b"".join(r + b" " * (-len(r) % SPAN) for r in raw), np.uint8).reshape(-1, SPAN)
             owner = np.repeat(np.arange(len(raw)), spans)
             left = np.full(len(owner), SPAN)
