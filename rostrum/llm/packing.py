@@ -19,6 +19,8 @@ empty result.
 from __future__ import annotations
 
 import bisect
+import os
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -33,39 +35,62 @@ WINDOW = 2048
 #: Partitions whose leftovers one task merges.
 MERGE = 64
 WIDTH = 4  # bytes of an id, little-endian
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 800_000
+#: Latin letters, then ASCII punctuation.
+_PARTS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u024f]+)([!-/:-@\[-`{-~]*)")
 
 
 class Encoder:
     """Ids of whole texts by the ``tokenizers`` library, as little-endian 32-bit words.
 
     The tokenizer splits at blanks before it merges, so that a text's ids are those of its
-    blank-separated words one after another; these are kept in a bounded cache.  Texts that may hold a
-    special token's string go through the tokenizer whole.
+    blank-separated words one after another; a word of Latin letters with punctuation after it is split
+    between the two as well, and case does not count.  Words and their parts are kept in bounded caches.
+    Texts that may hold a special token's string go through the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, text: str) -> bytes:
-        if "<|" in text:
-            return self._ids([text])[0]
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        missing = list({w for w in words if w not in known})
-        if missing:
-            if len(known) > _CACHED_WORDS:
-                known.clear()
-                known[""] = b""
-                missing = list(set(words))
-            known.update(zip(missing, self._ids(missing), strict=True))
-        return b"".join([known[w] for w in words])
+    def _learn(self, words: list[str]) -> None:
+        if len(self.words) > _CACHED_WORDS:
+            self.words = {"": b""}
+        if len(self.parts) > _CACHED_WORDS:
+            self.parts = {"": b""}
+        pairs = []
+        for w in words:
+            m = _PARTS.fullmatch(w)
+            pairs.append((m[1].lower(), m[2]) if m else (w, ""))
+        parts = self.parts
+        missing = list({x for pair in pairs for x in pair if x not in parts})
+        parts.update(zip(missing, self._ids(missing), strict=True))
+        self.words.update((w, parts[a] + parts[b]) for w, (a, b) in zip(words, pairs, strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if "<|" not in text else None for text in texts]
+        seen = set().union(*[w for w in split if w])
+        if missing := seen.difference(self.words):
+            self._learn(list(missing) if len(self.words) <= _CACHED_WORDS else list(seen))
+        known = self.words
+        return [b"".join([known[w] for w in words]) if words else self._ids([text])[0] for words, text in zip(split, texts, strict=True)]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One a worker process, so that its caches outlive a task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 class Packer:
@@ -176,12 +201,13 @@ def pack(docs: DataFrame, tokenizer_path: Callable[[], str], end_id: int = 1, wi
     end = struct.pack("<I", end_id)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, stream = Encoder(tokenizer_path()), TaskContext.get().partitionId()
+        encode, stream = encoder(tokenizer_path()).encode, TaskContext.get().partitionId()
         packer, out = Packer(stream << 32, window, open_windows, slack), None
         for b in batches:
             out = out or _Rows(b.column("doc_id").type, stream, with_ids)
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                for sequence in packer.add(doc_id, encoder.encode(text.as_py() or "") + end):
+            ids = encode([t or "" for t in b.column("text").to_pylist()])
+            for doc_id, stream_of_ids in zip(b.column("doc_id").to_pylist(), ids, strict=True):
+                for sequence in packer.add(doc_id, stream_of_ids + end):
                     out.put(sequence)
             yield out.batch()
         if out:
