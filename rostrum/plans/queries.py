@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import dates, labels, parse, text
 from ..operators import filters, members, speakers, state, topics
+from ..session import ship
 from ..sources import sinks
 from ..sources.documents import read_table
 from . import endpoints
@@ -354,11 +355,13 @@ def strip_markup(spark, d):
 
 @query()
 def sanitize_html(spark, d):
+    ship(spark)
     return read_table(spark, d, "pages").select("page_id", text.sanitised(F.col("html")).alias("clean"))
 
 
 @query()
 def sanitize_and_highlight(spark, d):
+    ship(spark)
     return read_table(spark, d, "pages").select("page_id", text.shown(F.col("html"), TERM).alias("shown"))
 
 

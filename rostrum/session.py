@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -16,3 +21,17 @@ def session(app: str = "rostrum", **conf: str) -> SparkSession:
     """A session; ``conf`` adds or replaces settings (dots written as two underscores)."""
     settings = SETTINGS | {k.replace("__", "."): v for k, v in conf.items()}
     return SparkSession.builder.appName(app).config(map=settings).getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once a context, wherever the driver runs from."""
+    context = spark.sparkContext
+    if getattr(context, "_rostrum_shipped", False):
+        return
+    home = Path(__file__).parent
+    made = os.path.join(tempfile.mkdtemp(prefix="rostrum-code-"), "rostrum.zip")
+    with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f"{home.name}/{f.relative_to(home)}")
+    context.addPyFile(made)
+    context._rostrum_shipped = True
