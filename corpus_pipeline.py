@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rostrum.llm import mixing, near, packing, quality, secrets
 from rostrum.llm.common import id_crc, materialize
-from rostrum.llm.queries import tokenizer_path
 
 QUALITY_KEPT_FROM = 0.3
 
@@ -36,7 +35,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path)
+    return packing.pack(docs, packing.public_tokenizer)
 
 
 STAGES = [("quality", quality_stage), ("near", near_stage), ("secrets", secrets_stage), ("mixing", mixing_stage), ("packing", packing_stage)]

@@ -9,6 +9,8 @@ import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..session import ship
+
 #: Rows a Python worker receives at once; keeps a batch of very long texts bounded.
 ARROW_ROWS = 500
 
@@ -46,7 +48,9 @@ def discard(df: DataFrame) -> None:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Limit the rows of one Arrow batch, so that long texts stay within a worker's memory."""
+    """Get ready for Python workers: they have the package, and the rows of one Arrow batch are limited, so that
+    long texts stay within a worker's memory."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 

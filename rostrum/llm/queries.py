@@ -49,14 +49,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", (id_crc() % 3 == 1).alias("held_out"), "text"), model).drop("text")
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path)
+    return packing.pack(table(spark, sf_dir, "documents"), packing.public_tokenizer)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import ship
+
 SHARD = 8192
 QUERIES = 1024
 SCHEMA = "query_id long, vec_id long, score long"
@@ -110,6 +112,7 @@ def _searched(k: int):
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's ``k`` best by integer inner product among all
     other rows.  ``vectors`` has vec_id, dims and v (see ``quantized``)."""
+    ship(vectors.sparkSession)
     n, asked = vectors.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
     shards, blocks = max(1, math.ceil(n / SHARD)), max(1, math.ceil(asked / QUERIES))
     every = lambda m, name: F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(name)
