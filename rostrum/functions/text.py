@@ -7,7 +7,7 @@ from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 MARK = '<mark class="highlight-match">'
 
@@ -143,7 +143,7 @@ def sanitise(html: str | None) -> str:
     return parser.result()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def sanitised(html: pd.Series) -> pd.Series:
     """The allow-list (STR-12).  A parser is needed, so this one runs in Python, in Arrow batches."""
     return html.map(sanitise)

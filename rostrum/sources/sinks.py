@@ -26,20 +26,20 @@ def export_csv(ranking: DataFrame, path: str) -> bool:
     """Write the ranking as CSV with every cell quoted; nothing at all if there is no row.
 
     A quote inside a cell is doubled (RFC 4180).  The original leaves it as it is, which breaks the row.
+    One file: a ranking has at most a page of rows for each keyword.
     """
     rows = export_columns(ranking)
     if rows.isEmpty():
         return False
-    rows.write.csv(path, header=True, quoteAll=True, escape='"', emptyValue="", mode="overwrite")
+    rows.coalesce(1).write.csv(path, header=True, quoteAll=True, escape='"', emptyValue="", mode="overwrite")
     return True
 
 
 def export_lines(ranking: DataFrame) -> DataFrame:
     """The export's lines, header first: line_no and line (SNK-1, STR-13)."""
     cell = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
-    lines = export_columns(ranking.withColumn("mentions", F.col("mentions")))
     ranked = ranking.select(F.col("rank").cast("bigint").alias("line_no"), F.concat_ws(",", *[cell(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in ("name", "party", "constituency", "mentions")]).alias("line"))
-    head = ranking.sparkSession.createDataFrame([(0, ",".join(f'"{h}"' for h in lines.columns))], "line_no bigint, line string")
+    head = ranking.sparkSession.createDataFrame([(0, ",".join(f'"{h}"' for h in EXPORT_HEADER))], "line_no bigint, line string")
     return head.unionByName(ranked)
 
 
@@ -78,8 +78,8 @@ class Snapshots:
         if current is None:
             return empty
         try:
-            rows = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("_bad", T.StringType())])).json(f"{self.root}/{current}", columnNameOfCorruptRecord="_bad").cache()
-            bad = not rows.where("_bad is not null").isEmpty()
+            rows = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("_bad", T.StringType())])).json(f"{self.root}/{current}", columnNameOfCorruptRecord="_bad")
+            bad = rows.agg(F.max("_bad"), F.count(rows.columns[0])).first()[0] is not None
         except AnalysisException:
             return empty
         return empty if bad else rows.drop("_bad").orderBy("pos").drop("pos") if "pos" in rows.columns else rows.drop("_bad")
