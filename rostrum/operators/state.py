@@ -9,19 +9,22 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.text import js_trim
 
 
+def _end(state: DataFrame, pos: str) -> int:
+    """The place after the last row."""
+    last = state.agg(F.max(pos)).first()[0]
+    return 0 if last is None else last + 1
+
+
 def add_absent(state: DataFrame, new: DataFrame, key: str = "id", pos: str = "pos") -> DataFrame:
     """Rows of ``new`` whose key is not there are appended in order; the first write of a key wins (SET-2)."""
     first = new.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(pos))).where("_n = 1").drop("_n")
-    last = state.agg(F.coalesce(F.max(pos), F.lit(-1)).alias("_last"))
-    fresh = first.join(state.select(key), key, "left_anti").crossJoin(F.broadcast(last))  # one row
-    place = F.col("_last") + 1 + F.col(pos)
-    return state.unionByName(fresh.withColumn(pos, place.cast(state.schema[pos].dataType)).select(*state.columns))
+    fresh = first.join(state.select(key), key, "left_anti")
+    return state.unionByName(fresh.withColumn(pos, (F.col(pos) + _end(state, pos)).cast(state.schema[pos].dataType)).select(*state.columns))
 
 
 def append(state: DataFrame, new: DataFrame, pos: str = "pos") -> DataFrame:
     """SET-4."""
-    last = state.agg(F.coalesce(F.max(pos), F.lit(-1)).alias("_last"))
-    moved = new.crossJoin(F.broadcast(last)).withColumn(pos, (F.col("_last") + 1 + F.col(pos)).cast(state.schema[pos].dataType))
+    moved = new.withColumn(pos, (F.col(pos) + _end(state, pos)).cast(state.schema[pos].dataType))
     return state.unionByName(moved.select(*state.columns))
 
 

@@ -280,9 +280,9 @@ _PARTIES = [("Labour",), ("Labour (Co-op)",), ("Conservative",), ("Liberal Democ
     ('Scottish National Party'), ('SNP'), ('Plaid Cymru'), ('DUP'), ('Sinn Féin'), ('Crossbench'), ('Green Labour'), (''), (null)) t(p),
     (select count(*) as n from documents) c)""")
 def party_colour(spark, d):
-    n = read_table(spark, d, "documents").agg(F.count(F.lit(1)).alias("n"))
+    n = read_table(spark, d, "documents").count()
     rows = _values(spark, _PARTIES, "party string")
-    return rows.select("party", labels.coloured(F.col("party")).alias("colour")).crossJoin(F.broadcast(n))
+    return rows.select("party", labels.coloured(F.col("party")).alias("colour"), F.lit(n).cast("bigint").alias("n"))
 
 
 @query("""select o_orderkey, case when o_orderstatus = 'F' then 'green' else 'red' end as style,
@@ -405,12 +405,10 @@ def normalise_house(spark, d):
 @query("""select (select count(distinct role) from conversations where role <> 'system') as speakers,
     (select count(*) from customer where c_acctbal < 0) as watched, 15::bigint as keywords, (select count(*) = 0 from pages) as no_pages""")
 def global_counts(spark, d):
-    said = speakers.speakers(_items(spark, d)).agg(F.count_distinct("name").alias("speakers"))
-    watched = _watched(spark, d).agg(F.count(F.lit(1)).alias("watched"))
-    words = topics.seed_topics(spark).agg(F.sum(F.size("keywords")).alias("keywords"))
-    none = read_table(spark, d, "pages").agg((F.count(F.lit(1)) == 0).alias("no_pages"))
-    # one row each
-    return said.crossJoin(watched).crossJoin(words).crossJoin(none)
+    said = speakers.speakers(_items(spark, d)).agg(F.count_distinct("name")).first()[0]
+    words = topics.seed_topics(spark).agg(F.sum(F.size("keywords"))).first()[0]
+    counts = (F.lit(v).cast("bigint").alias(k) for k, v in (("speakers", said), ("watched", _watched(spark, d).count()), ("keywords", words)))
+    return spark.range(1).select(*counts, F.lit(read_table(spark, d, "pages").isEmpty()).alias("no_pages"))
 
 
 @query("""select event_id, '{"event_id":' || event_id || ',"event_type":"' || event_type || '"}' as body from events""")
