@@ -40,6 +40,24 @@ _CACHED_WORDS = 800_000
 _PARTS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u024f]+)([!-/:-@\[-`{-~]*)")
 
 
+def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Path of an installed public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """Byte-level tokenizers write a byte that prints as itself, the others, in order, as the characters from
+    U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
+
+
+_BYTE_ALPHABET = _byte_alphabet()
+
+
 class Encoder:
     """Ids of whole texts by the ``tokenizers`` library, as little-endian 32-bit words.
 
@@ -65,14 +83,30 @@ class Encoder:
             self.words = {"": b""}
         if len(self.parts) > _CACHED_WORDS:
             self.parts = {"": b""}
-        pairs = []
+        parts, known, odd = self.parts, self.words, []
         for w in words:
             m = _PARTS.fullmatch(w)
-            pairs.append((m[1].lower(), m[2]) if m else (w, ""))
-        parts = self.parts
-        missing = list({x for pair in pairs for x in pair if x not in parts})
-        parts.update(zip(missing, self._ids(missing), strict=True))
-        self.words.update((w, parts[a] + parts[b]) for w, (a, b) in zip(words, pairs, strict=True))
+            if not m:
+                odd.append(w)
+                continue
+            letters, rest = m[1].lower(), m[2]
+            ids = parts.get(letters)
+            if ids is None:
+                ids = parts[letters] = self._of_letters(letters)
+            if rest:
+                if rest not in parts:
+                    parts[rest] = self._ids([rest])[0]
+                ids += parts[rest]
+            known[w] = ids
+        known.update(zip(odd, self._ids(odd), strict=True))
+
+    def _of_letters(self, word: str) -> bytes:
+        """Ids of a lower-case word of Latin letters: nothing to normalise or split, so straight to the merges,
+        on the byte alphabet."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_ALPHABET)
+        ids = [t.id for t in self.tokenizer.model.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if "<|" not in text else None for text in texts]
