@@ -1,14 +1,15 @@
 """Substring dedup by recompression: consistent names for runs and pairs of words find the windows of
 ``WINDOW`` words that also start in a document with a smaller id.
 
-Naming rounds, over all documents: a maximal run of one word gets the name of (word, length); then of
-two neighbouring runs, the first of a "left" word and the second of a "right" one, the pair gets the
+Naming rounds, over all documents: a maximal run of one symbol gets the name of (symbol, length); then of
+two neighbouring runs, the first of a "left" symbol and the second of a "right" one, the pair gets the
 name of both.  Names are 64-bit hashes of what they stand for, so they are the same everywhere without
-a shared dictionary, and whether a symbol forms depends on its words and one word on either side.
-Equal substrings therefore have equal interior symbols.  The symbol with the least hash among a
-window's interior symbols is its anchor; a window too repetitive to have one is its own.  Neighbouring
-windows with one anchor make a unit, so that texts meet in Spark once for each unit, not once for
-each word, by the anchor's name:
+a shared dictionary.  Two such levels are named.  Whether a symbol forms depends on the symbols beside
+it, and those on the words beside them: its context.  Equal substrings therefore have equal interior
+symbols.  Of the second-level symbols whose context lies within a window, the one with the least hash is
+the window's anchor; a window too repetitive to have one is its own.  Neighbouring windows with one
+anchor make a unit, so that texts meet in Spark once for each unit, not once for each word, by the
+anchor's name:
 
 1. equal units of an anchor: all but those of the smallest id are repeats, whole;
 2. an anchor with different units (where copies begin, end or differ): the units' first documents
@@ -60,45 +61,63 @@ def window_hashes(h: np.ndarray, window: int) -> np.ndarray:
         return mix((total[window:] - total[:n]) * back)
 
 
+def named(name: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One round of recompression: names of the next level's symbols, and the first and last item of each."""
+    fresh = np.ones(len(name), bool)
+    fresh[1:] = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(fresh)
+    last = np.r_[first[1:], len(name)] - 1
+    base = name[first]
+    up = joined(base, (last - first + 1).astype(np.uint64))
+    left = (mix(base + np.uint64(0xABCD)) & np.uint64(1)).astype(bool)
+    pair = np.zeros(len(first), bool)
+    pair[:-1] = left[:-1] & ~left[1:] & (doc[first[1:]] == doc[first[:-1]])
+    second = np.r_[False, pair[:-1]]
+    at = np.flatnonzero(pair)
+    up[at] = joined(up[at], up[at + 1])
+    last[at] = last[at + 1]
+    return up[~second], first[~second], last[~second]
+
+
 def anchors(h: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each word position: is it the start of a window, the name of the window's anchor, and the position
-    of the anchor (its own, where the window is its own anchor)."""
+    at which the anchor's context begins (-1 where the window is its own anchor)."""
     n = len(h)
-    fresh = np.ones(n, bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    start = np.flatnonzero(fresh)
-    end = np.r_[start[1:], n] - 1
-    base = h[start]
-    with np.errstate(over="ignore"):
-        name = joined(base, (end - start + 1).astype(np.uint64))
-        left = (mix(base + np.uint64(0xABCD)) & np.uint64(1)).astype(bool)
-    pair = np.zeros(len(start), bool)
-    pair[:-1] = left[:-1] & ~left[1:] & (doc[start[1:]] == doc[start[:-1]])
-    second = np.r_[False, pair[:-1]]
-    at = np.flatnonzero(pair)
-    name[at] = joined(name[at], name[at + 1])
-    end[at] = end[at + 1]
-    start, end, name = start[~second], end[~second], name[~second]
-    # interior symbols of window i: start >= i + 1 and end <= i + window - 2, a run of neighbours
     is_window = np.zeros(n, bool)
     if n >= window:
         is_window[: n - window + 1] = doc[: n - window + 1] == doc[window - 1 :]
-    starts, ends = np.zeros(n, np.int32), np.zeros(n, np.int32)
-    starts[start], ends[end] = 1, 1
+    anchor, place = np.zeros(n, np.uint64), np.full(n, -1)
+    if not is_window.any():
+        return is_window, anchor, place
+    with np.errstate(over="ignore"):
+        low, start, end = named(h, doc)
+        high, first, last = named(low, doc[start])
+        # a symbol of the second level depends on the symbols beside it, and those on the words beside them
+        inner = np.flatnonzero((first > 0) & (last < len(low) - 1))
+        before, after = start[first[inner] - 1] - 1, end[last[inner] + 1] + 1
+        fits = (before >= 0) & (after < n) & (after - before < window)
+        inner, before, after = inner[fits], before[fits], after[fits]
+        fits = (doc[before] == doc[start[first[inner]]]) & (doc[after] == doc[before])
+        inner, before, after = inner[fits], before[fits], after[fits]
+        # the name stands for the symbol and all of its context
+        power = np.cumprod(np.full(n, _BASE, np.uint64))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power, dtype=np.uint64)])
+        back = np.cumprod(np.full(n, _BACK, np.uint64))
+        name = joined(high[inner], mix((total[after + 1] - total[before]) * back[before]))
+        order = mix(name ^ np.uint64(0x1F123BB5159A55E5))
+    begins, ends = np.zeros(n + 1, np.int32), np.zeros(n, np.int32)
+    begins[before + 1], ends[after] = 1, 1
     at = np.flatnonzero(is_window)
-    first = np.cumsum(starts)[at]
-    last = np.cumsum(ends)[at + window - 2] - 1
-    order = mix(name ^ np.uint64(0x1F123BB5159A55E5))
+    lo = np.cumsum(begins)[at]
+    hi = np.cumsum(ends)[at + window - 1] - 1
     best, pick = np.full(len(at), np.iinfo(np.uint64).max, np.uint64), np.full(len(at), -1)
-    for k in range(window - 2):
-        now = np.minimum(first + k, len(order) - 1)
-        better = (first + k <= last) & (order[now] < best)
+    for k in range(int((hi - lo).max(initial=-1)) + 1):
+        now = np.minimum(lo + k, len(order) - 1)
+        better = (lo + k <= hi) & (order[now] < best)
         best[better] = order[now[better]]
         pick[better] = now[better]
-    anchor, place = np.zeros(n, np.uint64), np.full(n, -1)
     found = pick >= 0
-    anchor[at[found]], place[at[found]] = name[pick[found]], start[pick[found]]
-    place[at[~found]] = at[~found]
+    anchor[at[found]], place[at[found]] = name[pick[found]], before[pick[found]]
     return is_window, anchor, place
 
 
@@ -131,8 +150,9 @@ class _Chunk:
             hashed = np.zeros(len(h), np.uint64)
             own = window_hashes(h, self.window)
             hashed[: len(own)] = own
-            alone = is_window & (place == np.arange(len(h))) & (anchor == 0)
+            alone = is_window & (place < 0)
             anchor[alone] = hashed[alone]
+            place[alone] = -1 - np.flatnonzero(alone)
             # units: neighbouring windows of one document with one anchor
             at = np.flatnonzero(is_window)
             head = np.ones(len(at), bool)
