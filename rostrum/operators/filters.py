@@ -92,3 +92,9 @@ SORTS = {
 def bill_order(sort: str | None, updated: str, title: str) -> list[Column]:
     """One of four orders; any other name is the first (SRT-4)."""
     return SORTS.get(sort or "", SORTS["DateUpdatedDescending"])(updated, title)
+
+
+def visible(rows: DataFrame, order: Sequence[Column], first: int, shown: int, overscan: int = 5) -> DataFrame:
+    """The rows that a list shows from place ``first`` on, with some more on either side (WIN-3)."""
+    start = max(0, first - overscan)
+    return rows.orderBy(*order).offset(start).limit(first + shown + overscan - start)

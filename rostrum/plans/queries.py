@@ -420,3 +420,56 @@ def json_bodies(spark, d):
 @query("select o_orderkey, case when coalesce(o_orderpriority, '') <> '' then o_orderpriority else cast(o_orderkey as varchar) end as row_key from orders")
 def row_keys(spark, d):
     return read_table(spark, d, "orders").select("o_orderkey", labels.row_key(F.col("o_orderpriority"), F.col("o_orderkey")).alias("row_key"))
+
+
+@query("select c_custkey, c_name from customer where c_custkey = 11")
+def member_lookup(spark, d):
+    return filters.lookup(read_table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", 11)
+
+
+@query("""select c_custkey, r_name as synopsis from customer left join (select n_nationkey, r_name from nation join region on n_regionkey = r_regionkey where n_nationkey % 2 = 0) on c_nationkey = n_nationkey""")
+def member_synopsis(spark, d):
+    nation = read_table(spark, d, "nation").where("n_nationkey % 2 = 0")
+    synopsis = nation.join(read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("synopsis"))
+    people = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    return people.join(members.synopsis_of(people.select("c_nationkey").distinct(), synopsis, "c_nationkey"), "c_nationkey").select("c_custkey", "synopsis")
+
+
+@query("""select 9::bigint as id, c_name as name, n_name as contact, null::varchar as synopsis from customer join nation on n_nationkey = c_nationkey where c_custkey = 9""")
+def member_endpoint(spark, d):
+    people = read_table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), "c_nationkey")
+    contact = people.join(read_table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("id", F.col("n_name").alias("contact"))
+    synopsis = people.limit(0).select("id", F.lit("").alias("synopsis"))
+    return endpoints.member(people.drop("c_nationkey"), contact, synopsis, "9 ")
+
+
+@query("select conv_id, turn from conversations order by conv_id, turn limit 30 offset 15")
+def visible_slice(spark, d):
+    return filters.visible(read_table(spark, d, "conversations").select("conv_id", "turn"), [F.col("conv_id"), F.col("turn")], 20, 20)
+
+
+@query("select * from (values ('1', 'Climate & Environment', 5::bigint), ('2', 'Healthcare', 5), ('3', 'Economy', 5)) t(id, name, n)")
+def seed_topics(spark, d):
+    return topics.seed_topics(spark).select("id", "name", F.size("keywords").cast("bigint").alias("n"))
+
+
+@query("""with kw(kw_ord, keyword) as (select * from (values (0, 'and'), (1, 'of the'), (2, 'the of'), (3, 'is the')))
+    select kw_ord, keyword, doc_id, rn from (select kw_ord, keyword, doc_id, row_number() over (partition by kw_ord order by doc_id) as rn
+    from documents d join kw on contains(lower(d.text), keyword)) where rn <= 50""")
+def keyword_top_hits(spark, d):
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    hits = topics.keyword_hits(docs, KEYWORDS, "text", "doc_id")
+    return hits.select("kw_ord", "keyword", "doc_id", F.col("rn").cast("bigint").alias("rn"))
+
+
+@query("""select conv_id as debate_id, turn as pos, conv_id % 2 = 0 as watched from conversations""")
+def transcript_with_watch(spark, d):
+    rows = read_table(spark, d, "conversations").select(F.col("conv_id").alias("debate_id"), F.col("turn").alias("pos"))
+    watched = rows.where("debate_id % 2 = 0").select(F.col("debate_id").alias("id"))
+    return members.with_watch_flag(rows, watched, "debate_id")
+
+
+@query("select ts::date::varchar as day, max(event_id) as last_event, count(*) as n, count(*) = 0 as none from events group by 1")
+def day_summary(spark, d):
+    rows = speakers.with_day(read_table(spark, d, "events").select("event_id", _day("ts").alias("ts")), "ts")
+    return rows.groupBy("day").agg(F.max("event_id").alias("last_event"), F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) == 0).alias("none"))
