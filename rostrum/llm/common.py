@@ -27,6 +27,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_written: list[str] = []
+
+
 def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: a lineage cut
     that outlives any executor (unlike a local checkpoint)."""
@@ -35,16 +38,28 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._rostrum_path = path
+    _written.append(path)
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files behind a DataFrame returned by ``materialize``."""
     path = getattr(df, "_rostrum_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, path)
+
+
+def sweep(spark: SparkSession) -> int:
+    """Delete all that this driver has materialized, once the results that rest on it are written."""
+    paths, _written[:] = list(_written), []
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -27,14 +27,15 @@ UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def _gate(x):
-    """Hard sigmoid."""
-    return np.clip(0.25 * x + 0.5, 0, 1)
+def has_letter(text: str) -> bool:
+    found = _LETTER.search(text)
+    # the pattern also takes numerals that are no digits
+    return bool(found) and (found[0].isalpha() or any(c.isalpha() for c in text))
 
 
 @dataclass
 class Direction:
-    """A gated recurrent layer: reset and update gates and a candidate, with the byte embedding and
+    """A gated recurrent layer: reset and update gates (hard sigmoids) and a candidate, with the byte embedding and
     input projection folded into one table of 256 rows."""
 
     table: np.ndarray  # 256 x 3H: reset, update, candidate
@@ -126,7 +127,7 @@ class ByteTagger:
                 np.add.at(sums, owner[k : k + 2048], p.sum(0))
         names, scores = [], np.zeros(len(raw))
         for i, t in enumerate(texts):
-            if not self.labels or not t or not _LETTER.search(t):
+            if not self.labels or not t or not has_letter(t):
                 names.append(UNDETERMINED)
                 continue
             best = int(sums[i].argmax())
@@ -184,7 +185,7 @@ def train(docs: DataFrame, train_rows: Column, per_label: int = 500, windows: in
     cut = ids.select("doc_id", "lang", F.array(*places).alias("cuts"), F.xxhash64("text").alias("text"))
     got = cut.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_label).select("lang", "rank", "cuts").toArrow()
     rows = sorted(zip(got["lang"].to_pylist(), got["rank"].to_pylist(), got["cuts"].to_pylist(), strict=True))
-    pairs = [(lang, c.encode("utf-8", "surrogatepass")) for lang, _, cuts in rows for c in cuts if _LETTER.search(c)]
+    pairs = [(lang, c.encode("utf-8", "surrogatepass")) for lang, _, cuts in rows for c in cuts if has_letter(c)]
     return fit([c for _, c in pairs], [lang for lang, _ in pairs])
 
 

@@ -54,6 +54,10 @@ def test_language_edge_cases(spark):
     assert {r["lang_pred"] for r in langid.predict(docs, none).collect()} == {"und"}
 
 
+def test_letters():
+    assert [langid.has_letter(t) for t in ("", "12 ½ ²", "½a", "é", "_-3")] == [False, False, True, True, False]
+
+
 def test_every_byte_counts():
     rng = np.random.default_rng(1)
     model = langid.fit([b"aaaa bbbb " * 8, b"cccc dddd " * 8] * 4, ["x", "y"] * 4, steps=60)
