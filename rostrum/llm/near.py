@@ -198,8 +198,9 @@ def near_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = REC
     classes = materialize(classes.select(*same, "copies", "m.doc_id", "m.text_hash", "m.nodes", F.xxhash64(*same).alias("id")), "classes")
     ends = classes.select("id", F.explode("nodes").alias("node"))
     shared = ends.groupBy("node").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("node", "low")
-    meetings = ends.join(shared, "node").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
-    groups = components(meetings)
+    # of a set's nodes (one a tree) the least id stands for all: a group of very many sets keeps an edge each
+    met = ends.join(shared, "node").groupBy("id").agg(F.collect_set("low").alias("lows"), F.least(F.min("low"), "id").alias("b"))
+    groups = components(met.select(F.col("id").alias("a"), "b").union(met.select(F.explode("lows").alias("a"), "b").distinct()))
     counted = groups.join(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "component")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     members = counted.select("id", F.col("component").alias("group"), blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"))
