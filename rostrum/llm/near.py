@@ -37,6 +37,8 @@ TREES = 24
 DEEPEST = 12
 #: Members of a block of a coarse group.
 BLOCK = 400
+#: Shingles of a block.
+BLOCK_WORDS = 400_000
 
 
 def depth(threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES) -> int:
@@ -201,10 +203,10 @@ def near_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = REC
     # of a set's nodes (one a tree) the least id stands for all: a group of very many sets keeps an edge each
     met = ends.join(shared, "node").groupBy("id").agg(F.collect_set("low").alias("lows"), F.least(F.min("low"), "id").alias("b"))
     groups = components(met.select(F.col("id").alias("a"), "b").union(met.select(F.explode("lows").alias("a"), "b").distinct()))
-    counted = groups.join(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "component")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    members = counted.select("id", F.col("component").alias("group"), blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"))
-    members = classes.select("id", "doc_id", "text_hash", "copies", "nodes").join(members, "id")
+    members = classes.select("id", "doc_id", "text_hash", "copies", "nodes", "size").join(groups.withColumnRenamed("component", "group"), "id")
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("words") / BLOCK_WORDS)).cast("int")
+    members = members.join(sizes.select("group", blocks.alias("blocks")), "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     found = texts.alias("t").join(members.alias("m"), F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("t.text_hash") == F.col("m.text_hash"))).select("m.id", "t.text", "m.copies", "m.nodes", "m.group", "m.block", "m.blocks")
     tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
     dealt = found.withColumn("task", F.explode(tasks)).select("group", "task.i", "task.j", "block", "id", "copies", "nodes", "text")
