@@ -34,8 +34,7 @@ OUTPUTS = ["tokens", "copy", "block", "schedule", "weight", "share"]
 
 def tokens_of(text: Column) -> Column:
     """Blank-separated words."""
-    bare = F.trim(F.regexp_replace(text, r"\s+", " "))
-    return F.coalesce(F.when(bare == "", 0).otherwise(F.length(bare) - F.length(F.translate(bare, " ", "")) + 1), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
 def _key() -> Column:
