@@ -102,4 +102,48 @@ ORACLES: dict[str, str] = {
         )
         select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
     """,
+    "op3_ngram_jaccard_join": r"""
+        with recursive w as (
+            select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') as w from documents
+        ), sh as (
+            select distinct doc_id, array_to_string(list_slice(w, i, i + 4), ' ') as s
+            from w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) where len(w) > 0
+        ), n as (
+            select w.doc_id, count(s) as n from w left join sh on sh.doc_id = w.doc_id group by 1
+        ), met as (
+            select a.doc_id as a, b.doc_id as b, count(*) as k from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2
+            union all
+            select a.doc_id, b.doc_id, 0 from n a join n b on a.n = 0 and b.n = 0 and a.doc_id <> b.doc_id
+        ), links as (
+            select a, b, k = x.n and k = y.n as same from met join n x on x.doc_id = a join n y on y.doc_id = b where 5 * k >= 4 * (x.n + y.n - k)
+        ), reach(a, b) as (
+            select doc_id, doc_id from w
+            union
+            select reach.a, links.b from reach join links on links.a = reach.b
+        ), class as (
+            select a, min(b) as class_id from reach group by a
+        ), own as (
+            select a, count(*) as n_links, min(b) filter (where same) as twin from links group by a
+        )
+        select doc_id, class_id, least(doc_id, coalesce(twin, doc_id)) as set_id, coalesce(n_links, 0) as n_links
+        from w join class on class.a = doc_id left join own on own.a = doc_id
+    """,
+    "op7_substring_dedup": r"""
+        with w as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+        ), win as (
+            select doc_id, i, md5(array_to_string(list_slice(w, i, i + 12), ' ')) as h from w, unnest(range(1, len(w) - 11)) t(i)
+        ), first as (
+            select h, min(doc_id) as low from win group by h
+        ), gone as (
+            select distinct doc_id, i + k as pos from win join first using (h), range(13) r(k) where doc_id > low
+        ), word as (
+            select w.doc_id, i as pos, w.w[i] as word, gone.pos is not null as removed
+            from w, unnest(range(1, len(w.w) + 1)) t(i) left join gone on gone.doc_id = w.doc_id and gone.pos = i
+        ), kept as (
+            select doc_id, count(*) filter (where removed) as n_removed, string_agg(word, ' ' order by pos) filter (where not removed) as kept from word group by 1
+        )
+        select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+        from w left join kept using (doc_id)
+    """,
 }
