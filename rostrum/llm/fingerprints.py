@@ -2,8 +2,8 @@
 
 Each shingle of five words is hashed once.  The top bits of the hash name one of ``BINS`` bins, which keeps
 its least hash.  An empty bin takes the value of a filled one, chosen by optimal densification: each
-empty bin draws the bins in a random order of its own, the same for every document, until one is
-filled; that is the filled bin with the least ``xxhash64(empty bin, filled bin)``.  The low byte of each
+empty bin draws bins in a random order of its own, the same for every document, until one is
+filled (``DRAWS`` draws by hash, then, for short texts, the filled bin of least hash).  The low byte of each
 bin is stored.  Two unrelated bins agree once in 256 times, which the likeness is corrected for.
 
 Defined cases: a null text counts as the empty one; a text without words has the empty fingerprint,
@@ -13,15 +13,18 @@ rows get equal fingerprints; extra columns pass through; an empty table gives an
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import partitions
 
-BIN_BITS = 7
+BIN_BITS = 8
 BINS = 1 << BIN_BITS
 WORDS = 5
+#: Draws of an empty bin before all filled bins are ranked at once.
+DRAWS = 24
 #: White space of a text, as ``\\s`` has it.
 BLANKS = " \t\n\x0b\f\r"
 
@@ -55,8 +58,9 @@ def fingerprint(text: Column) -> Column:
     def packed(kept: Column) -> Column:
         def dense(filled: Column) -> Column:
             def borrowed(b: Column) -> Column:
-                draws = F.transform(kept, lambda x: F.struct(F.xxhash64(b, _bin(x)).alias("draw"), x.bitwiseAND(255).alias("low")))
-                return F.array_min(draws)["low"]
+                drawn = F.aggregate(F.sequence(F.lit(1), F.lit(DRAWS)), F.lit(None).cast("bigint"), lambda got, k: F.coalesce(got, F.element_at(filled, F.pmod(F.xxhash64(b, k), F.lit(BINS)))))
+                ranked = F.transform(kept, lambda x: F.struct(F.xxhash64(b, _bin(x)).alias("rank"), x.bitwiseAND(255).alias("low")))
+                return F.coalesce(drawn, F.array_min(ranked)["low"])
 
             own = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(BINS - 1).cast("bigint")), lambda b: F.coalesce(F.element_at(filled, b), borrowed(b)))
             return F.unhex(F.array_join(F.transform(own, lambda v: F.lpad(F.hex(v), 2, "0")), ""))
@@ -74,6 +78,21 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.length(a) == 0) | (F.length(b) == 0), (a == b).cast("double")).otherwise(both)
 
 
+def range_of(value: Column, cuts: list[int]) -> Column:
+    """How many of the ascending ``cuts`` are below ``value``: first among every g-th cut, then within its group,
+    so that a row meets about twice the square root of their number."""
+    if not cuts:
+        return F.lit(0)
+    g = math.isqrt(len(cuts)) + 1
+    groups = [cuts[k : k + g] for k in range(0, len(cuts), g)]
+    below = lambda bounds: F.size(F.filter(bounds, lambda b: b < value))
+    lit = lambda xs: F.array(*[F.lit(x).cast("bigint") for x in xs])
+    whole = below(lit([c[-1] for c in groups]))
+    inside = F.get(F.array(*map(lit, groups)), whole)
+    # the last group may be short
+    return F.least(whole * g + F.coalesce(F.when(inside.isNotNull(), below(inside)), F.lit(0)), F.lit(len(cuts)))
+
+
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` with ``next_<c>`` for each of ``columns``: the row after, in descending order of doc_id (nulls at
     the end, ties by text hash), the first after the last.
@@ -85,9 +104,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     ranges = partitions(spark)
     ids = docs.select("doc_id")
     cuts = ids.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)] or [0.5], 20_000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    bounds = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))))
+    bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(range_of(F.col("doc_id"), sorted(set(cuts))))
     tops = sorted(((r["bucket"], r["top"]) for r in ids.groupBy(bucket.alias("bucket")).agg(F.max("doc_id").alias("top")).collect()), key=lambda r: r[0])
     # the range before in descending order is the next one above; before the first comes the last
     also = F.lit(None).cast("int")

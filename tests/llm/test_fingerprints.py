@@ -68,3 +68,12 @@ def test_nothing_and_one(spark):
     assert [r["next_text"] for r in one] == ["only"]
     nulls = fp.with_next(corpus.frame(spark, [(None, "c"), (9, "a"), (4, "b")]), ["text"]).collect()
     assert {r["text"]: r["next_text"] for r in nulls} == {"a": "b", "b": "c", "c": "a"}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 100])
+def test_ranges_are_those_of_bisection(spark, n):
+    from bisect import bisect_left
+
+    cuts = [3 * k - 50 for k in range(n)]
+    rows = spark.range(-60, 300).select("id", fp.range_of(F.col("id"), cuts).alias("r")).collect()
+    assert [(r["id"], r["r"]) for r in rows] == [(r["id"], bisect_left(cuts, r["id"])) for r in rows]
