@@ -39,6 +39,8 @@ from .tokens import hash_words, joined, mix
 WINDOW = 13
 #: Words that one step of a task holds.
 CHUNK = 600_000
+#: Units that a task gathers before it deals them out.
+DEALT = 400_000
 LAST = (1 << 63) - 1
 _BASE = np.uint64(0xD1342543DE82EF95)
 _BACK = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
@@ -122,10 +124,11 @@ def anchors(h: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np
 
 
 class _Chunk:
-    """Documents of one task until they have ``CHUNK`` words."""
+    """Documents of one task until they have ``CHUNK`` words, and the units that wait to be dealt out."""
 
     def __init__(self, window: int, buckets: int):
         self.window, self.buckets = window, buckets
+        self.units, self.waiting = [], 0
         self.clear()
 
     def clear(self) -> None:
@@ -172,18 +175,24 @@ class _Chunk:
             for o, b, c in zip(owner[doc > least].tolist(), begin[doc > least].tolist(), count[doc > least].tolist(), strict=True):
                 spans.setdefault(o, []).append((b, b + c + self.window - 1))
             keep = np.flatnonzero(doc == least)
-            bucket = (name[keep] % np.uint64(self.buckets)).astype(np.int64)
-            keep = keep[np.argsort(bucket, kind="stable")]
-            bucket = np.sort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-            for a, b in zip(cuts, np.r_[cuts[1:], len(bucket)] if len(bucket) else [], strict=True):
-                k = keep[a:b]
-                k = k[np.argsort(doc[k], kind="stable")]
-                out.append((int(bucket[a]), 1, None, None, None, None, _packed(name[k], unit[k], doc[k], (version[k] << 40) | begin[k], count[k])))
+            self.units.append([c[keep] for c in (name, unit, doc, (version << 40) | begin, count)])
+            self.waiting += len(keep)
         for k, (doc_id, version, n, sha) in enumerate(self.docs):
             out.append((doc_id % self.buckets, 0, doc_id, version, n, sha, np.array(_merged(spans.get(k, [])), np.int32).tobytes()))
         return out
 
+    def dealt(self) -> list[tuple]:
+        """The units that have gathered, a row for each bucket."""
+        if not self.units:
+            return []
+        columns = [np.concatenate(c) for c in zip(*self.units, strict=True)]
+        self.units, self.waiting = [], 0
+        bucket = (columns[0] % np.uint64(self.buckets)).astype(np.int64)
+        order = np.lexsort((columns[2], bucket))
+        bucket = bucket[order]
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        return [(int(bucket[a]), 1, None, None, None, None, _packed(*[c[order[a:b]] for c in columns])) for a, b in zip(cuts, np.r_[cuts[1:], len(bucket)], strict=True) if b > a]
+
 
 def _merged(spans: list) -> list:
     out: list = []
@@ -239,10 +248,9 @@ def _scan(window: int, buckets: int):
             for doc, version, text in zip(b.column("id").to_pylist(), b.column("version").to_pylist(), b.column("text"), strict=True):
                 chunk.add(doc, version, text.as_py())
                 if chunk.size >= CHUNK:
-                    yield _batch(chunk.rows(), _FIRST)
+                    yield _batch(chunk.rows() + (chunk.dealt() if chunk.waiting >= DEALT else []), _FIRST)
                     chunk.clear()
-        if chunk.docs:
-            yield _batch(chunk.rows(), _FIRST)
+        yield _batch(chunk.rows() + chunk.dealt(), _FIRST)
 
     return run
 
