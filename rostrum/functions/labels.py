@@ -95,3 +95,6 @@ house_name = lambda c: or_default(c, "Unknown house")
 party_name = lambda c: or_default(c, "Independent")
 constituency_name = lambda c: or_default(c, "Unknown constituency")
 speaker_name = lambda c: or_default(c, "Unknown Speaker")
+debate_title = lambda c: or_default(c, "Debate")
+topic_party = lambda c: or_default(c, "Unknown")
+topic_seat = lambda c: or_default(c, "-")

@@ -473,3 +473,10 @@ def transcript_with_watch(spark, d):
 def day_summary(spark, d):
     rows = speakers.with_day(read_table(spark, d, "events").select("event_id", _day("ts").alias("ts")), "ts")
     return rows.groupBy("day").agg(F.max("event_id").alias("last_event"), F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) == 0).alias("none"))
+
+
+@query("""select c_custkey, coalesce(nullif(v, ''), 'Debate') as title, coalesce(nullif(v, ''), 'Unknown') as party, coalesce(nullif(v, ''), '-') as seat
+    from (select c_custkey, case when c_custkey % 3 = 0 then null when c_custkey % 3 = 1 then '' else c_mktsegment end as v from customer)""")
+def topic_table_labels(spark, d):
+    v = F.when(F.col("c_custkey") % 3 == 0, F.lit(None)).when(F.col("c_custkey") % 3 == 1, "").otherwise(F.col("c_mktsegment"))
+    return read_table(spark, d, "customer").select("c_custkey", labels.debate_title(v).alias("title"), labels.topic_party(v).alias("party"), labels.topic_seat(v).alias("seat"))
