@@ -32,8 +32,8 @@ from .tokens import hash_words, mix, seeds, windows
 
 WORDS = 5
 THRESHOLD = 0.8
-RECALL = 0.999
-TREES = 24
+RECALL = 0.9999
+TREES = 32
 DEEPEST = 12
 #: Members of a block of a coarse group.
 BLOCK = 400
