@@ -1,9 +1,13 @@
 """Sharding by balanced label propagation, with DataFrame operations only.
 
 Documents with equal texts form one node; a group of copies larger than a quarter of a shard is split
-into pieces by ``doc_id``.  Nodes are linked through shared keys (the opening and the closing of the
-text), so that a link shared by many nodes is one hyperedge: votes are counts by (link, shard), never
-pairs.  Each round moves nodes towards the shard that holds most of their neighbours, as far as the
+into pieces by ``doc_id``.  Nodes are linked through shared keys of the whole text, so that a link shared
+by many nodes is one hyperedge: votes are counts by (link, shard), never pairs, and each link's votes
+are divided by its other nodes, so that a line of very many texts does not drown out a near copy.  The
+keys are hashes of runs of five words: the least ``LEAST`` of a text (two texts of Jaccard similarity s
+share none with chance (1 - s) ** LEAST or so), and the least of every ``WINDOW`` successive ones (two
+texts that share WINDOW + 4 successive words always share one); also the opening and the closing.
+Keys that only one node has are dropped before the rounds.  Each round moves nodes towards the shard that holds most of their neighbours, as far as the
 shards' capacities allow; only half of the nodes, drawn anew by hash, may move in a round, so that two
 neighbours can't trade places for ever.  Then nodes, those with fewest neighbours first, leave the
 shards over the mean for those under it until the bytes are equal to within a small node.
@@ -12,8 +16,8 @@ What the driver sees is bounded: sums by (from, to, gain, cell), and the nodes l
 shard, of which there are at most 64 a shard.
 
 Defined cases: a null text has size 1 and CRC 0 and groups with the other null texts; equal texts are
-in one shard unless their group had to be split; a text with no room for an opening has no links;
-repeated rows are rows of their own with slots of their own; extra columns are dropped; an empty table
+in one shard unless their group had to be split; fewer than five words are one run, a blank text has no
+links; repeated rows are rows of their own with slots of their own; extra columns are dropped; an empty table
 gives an empty result.
 """
 
@@ -22,9 +26,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import discard, materialize
+from .fingerprints import let, shingles
 
 #: Characters of the opening and of the closing that make a link.
 EDGE_CHARS = 160
+#: Least hashes of a text that make links, and successive ones of which the least makes one.
+LEAST = 8
+WINDOW = 16
+#: A vote of all other nodes of a link; votes are whole numbers, so that sums do not depend on their order.
+VOTE = 1 << 20
 #: Cells by which moves are admitted.
 CELLS = 128
 BIG = 64
@@ -35,17 +45,28 @@ ROWS_A_CELL = 20_000
 GROUP = ["text_hash", "text_crc32", "size"]
 
 
+def links(text: Column) -> Column:
+    """The link keys of a text, without repeats."""
+    long = F.length(text) >= 2 * EDGE_CHARS
+    edges = F.array(*[F.xxhash64(F.lower(F.substring(text, at, EDGE_CHARS)), F.lit(at)) for at in (1, -EDGE_CHARS)])
+
+    def of(runs: Column) -> Column:
+        windows = F.transform(F.sequence(F.lit(1), F.greatest(F.size(runs) - WINDOW + 1, F.lit(1))), lambda i: F.array_min(F.slice(runs, i, WINDOW)))
+        return F.concat(F.slice(F.sort_array(F.array_distinct(runs)), 1, LEAST), F.array_compact(F.array_distinct(windows)))
+
+    inner = let(shingles(F.lower(text)), of)
+    return F.array_distinct(F.when(long, F.concat(inner, edges)).otherwise(inner))
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, size, CRC and hash of each row, with its link keys."""
     text = F.col("text")
-    long = F.length(text) >= 2 * EDGE_CHARS
-    edges = (F.xxhash64(F.lower(F.substring(text, at, EDGE_CHARS)), F.lit(at)) for at in (1, -EDGE_CHARS))
     return docs.select(
         "doc_id",
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).alias("text_crc32"),
         F.xxhash64(text, F.lit(1)).alias("text_hash"),
-        F.when(long, F.array(*edges)).otherwise(F.array().cast("array<bigint>")).alias("links"),
+        links(text).alias("links"),
     )
 
 
@@ -78,17 +99,30 @@ def _loads(state: DataFrame, n: int) -> list[int]:
     return [got.get(s, 0) for s in range(n)]
 
 
+def _shared(nodes: DataFrame) -> DataFrame:
+    """Nodes with those of their links that other nodes have too."""
+    ends = nodes.select("node", F.explode("links").alias("link"))
+    met = ends.groupBy("link").agg(F.count(F.lit(1)).alias("all")).where("all > 1").select("link")
+    kept = ends.join(met, "link").groupBy("node").agg(F.collect_list("link").alias("links"))
+    return nodes.drop("links").join(kept, "node", "left").withColumn("links", F.coalesce("links", F.array().cast("array<bigint>")))
+
+
 def _votes(state: DataFrame, n: int) -> DataFrame:
-    """State with ``votes``: linked neighbours of a node by shard, itself left out."""
+    """State with ``votes``: linked neighbours of a node by shard, itself left out, a link's together ``VOTE``."""
     ends = state.select("node", "shard", F.explode("links").alias("link"))
     count = [F.sum(F.when(F.col("shard") == s, 1).otherwise(0)).alias(f"c{s}") for s in range(n)]
-    by_link = ends.groupBy("link").agg(F.count(F.lit(1)).alias("all"), *count).where("all > 1").drop("all")
-    around = ends.join(by_link, "link").groupBy("node", "shard").agg(F.count(F.lit(1)).alias("own"), *[F.sum(f"c{s}").alias(f"c{s}") for s in range(n)])
+    by_link = ends.groupBy("link").agg(F.count(F.lit(1)).alias("all"), *count).where("all > 1").withColumn("w", F.greatest(F.lit(1), F.floor(VOTE / (F.col("all") - 1)))).drop("all")
+    around = ends.join(by_link, "link").groupBy("node", "shard").agg(F.sum("w").alias("own"), *[F.sum(F.col("w") * F.col(f"c{s}")).alias(f"c{s}") for s in range(n)])
     votes = F.array(*[F.col(f"c{s}") - F.when(F.col("shard") == s, F.col("own")).otherwise(0) for s in range(n)])
     got = around.select("node", votes.alias("votes"))
     return state.join(got, "node", "left").withColumn("votes", F.coalesce("votes", F.array(*[F.lit(0).cast("long")] * n)))
 
 
+def _gain(more: Column) -> Column:
+    """2 for at least a whole link's votes, 1 for less, 0 for none."""
+    return F.when(more >= VOTE, 2).when(more > 0, 1).otherwise(0)
+
+
 def _moved(state: DataFrame, cells: DataFrame, moves: dict[int, int]) -> DataFrame:
     to = _in_table(F.col("cell"), moves)
     return cells.select(*[c for c in state.columns if c != "shard"], F.coalesce(to, F.col("shard")).cast("int").alias("shard"))
@@ -100,7 +134,7 @@ def _round(state: DataFrame, n: int, mean: float, seed: int, slack: float) -> Da
     shard = F.col("shard")
     best = F.array_max("votes")
     drawn = F.pmod(F.xxhash64("node", F.lit(1000 + seed)), F.lit(2)) == 0
-    voted = voted.withColumn("gain", F.least(best - F.col("votes")[shard], F.lit(2))).withColumn("to", (F.array_position("votes", best) - 1).cast("int"))
+    voted = voted.withColumn("gain", _gain(best - F.col("votes")[shard])).withColumn("to", (F.array_position("votes", best) - 1).cast("int"))
     cell = ((F.col("gain").cast("int") * n + shard) * n + F.col("to")) * CELLS + F.pmod(F.xxhash64("node", F.lit(3)), F.lit(CELLS)).cast("int")
     voted = materialize(voted.withColumn("cell", F.when(F.col("movable") & drawn & (F.col("gain") > 0), cell).cast("int")).drop("votes", "gain", "to"), "votes")
     load = _loads(state, n)
@@ -160,6 +194,7 @@ def shards(docs: DataFrame, n_shards: int = 8, rounds: int = 6, slack: float = 0
     pieced = base.withColumn("piece", F.pmod(F.xxhash64("doc_id", F.lit(5)), parts).cast("int"))
     nodes = pieced.groupBy(*GROUP, "piece").agg(F.sum("size").alias("bytes"), F.max("links").alias("links")).withColumn("node", F.xxhash64(*GROUP, "piece"))
     nodes = materialize(nodes, "nodes")
+    nodes = materialize(_shared(nodes), "shared")
     split_keys = F.lit(False)
     for h, crc, size in splits:
         split_keys = split_keys | ((F.col("text_hash") == h) & (F.col("text_crc32") == crc) & (F.col("size") == size))
