@@ -233,6 +233,18 @@ def watchlist_remove(spark, d):
     return state.remove(_state(spark, d, "c_custkey < 50"), [3, 7, 1000])
 
 
+@query("""select c_custkey as id, c_name as name, c_custkey as pos from customer
+    union all select p_partkey, p_name, (select max(c_custkey) + 1 from customer) + p_partkey from part where p_partkey not in (select c_custkey from customer)""")
+def watchlist_add_whole(spark, d):
+    new = read_table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_partkey").alias("pos"))
+    return state.add_absent(_state(spark, d, "true"), new)
+
+
+@query("select c_custkey as id, c_name as name, c_custkey as pos from customer where c_custkey not in (3, 7, 1000)")
+def watchlist_remove_whole(spark, d):
+    return state.remove(_state(spark, d, "true"), [3, 7, 1000])
+
+
 @query("select c_custkey as id, c_name as name, c_custkey as pos from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
 def remove_in_bulk(spark, d):
     return state.remove_all(_state(spark, d, "true"), read_table(spark, d, "orders").select(F.col("o_custkey").alias("id")))
