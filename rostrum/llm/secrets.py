@@ -2,8 +2,8 @@
 operations only: the patterns are SQL regular expressions, the forest is the one of Spark's own
 machine-learning library, which scores on the JVM.
 
-A candidate is a value assigned to a credential name, or a run of 16 or more token characters with a
-digit.  Its features are length, character classes and their transitions, variety, dictionary coverage,
+A candidate is a value assigned to a name with a credential word in it, or a run of 16 or more token
+characters with a digit, without the ``name=`` in front of it.  Its features are length, character classes and their transitions, variety, dictionary coverage,
 the words before and after it, and the path of its document.  The forest learns from labelled
 findings; ``labelled_findings`` makes a bounded set of them from the public formats of credentials and
 of what is mistaken for them.
@@ -30,10 +30,16 @@ PLACEHOLDERS = ["example", "sample", "dummy", "placeholder", "changeme", "change
 PAIRS = ["th", "he", "in", "er", "an", "re", "on", "at", "en", "nd", "ti", "es", "or", "te", "of", "ed", "is", "it", "al", "ar", "st", "nt", "to", "se", "ha", "ou", "io", "le", "ve", "co", "me", "de", "hi", "ri", "ro", "ic", "ch", "un", "au"]
 
 _NAME = "(?i:" + "|".join(NAMES) + ")"
-_ASSIGNED = _NAME + r"""["']?[ \t]{0,3}[:=][ \t]{0,3}["']?[^\s"'<>\x01\x02]{8,}"""
-_RUN = r"(?<![A-Za-z0-9+/=_.~-])(?=[A-Za-z+/=_.~-]*+[0-9])[A-Za-z0-9+/=_.~-]{16,}+"
-CANDIDATE = f"({_ASSIGNED}|{_RUN})"
-_VALUE = "^(?:" + _NAME + r"""["']?[ \t]{0,3}[:=][ \t]{0,3}["']?)?(.*?)[!.,;:#&%$*]*$"""
+_FIRST = r"(?<![A-Za-z0-9+/=_.~-])"
+# the rest of a name after its credential word: API_KEY_PROD, token_01, secret2
+_REST = r"(?:[_.-][A-Za-z0-9_.-]*+|[0-9]*+)"
+_HEAD = r"[A-Za-z0-9+/=_.~-]*?" + _NAME + _REST + r"""["']?[ \t]{0,3}[:=][ \t]{0,3}["']?(?=[^\s"'<>\x01\x02]{8})"""
+_ASSIGNED = _HEAD + r"""[^\s"'<>\x01\x02]{8,}"""
+_RUN = r"(?=[A-Za-z+/=_.~-]*+[0-9])[A-Za-z0-9+/=_.~-]{16,}+"
+# another name in front of a run; what is left is a run still
+_LEADING = r"(?:[A-Za-z_][A-Za-z0-9_.-]*+=(?!=)(?=" + _RUN + "))+"
+CANDIDATE = f"{_FIRST}({_ASSIGNED}|{_RUN})"
+_VALUE = f"^({_HEAD}|{_LEADING})?(.*?)[!.,;:#&%$*]*$"
 BEFORE, AFTER = 48, 24
 
 FEATURES = ["size", "digits", "upper", "lower", "symbols", "hex", "changes", "variety", "vowels", "dictionary", "pairs", "dots", "assigned", "named", "quoted", "benign", "words_after", "path_test"]
@@ -50,7 +56,8 @@ def candidates(docs: DataFrame, text: str = "text", path: str = "path") -> DataF
     # prefix sums, one pass over the parts
     starts = F.aggregate("sizes", F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
     docs = docs.withColumn("starts", starts)
-    tail = lambda p: F.substring(F.substring_index(p, "\x02", -1), -BEFORE, BEFORE)
+    # the match before belongs to the context: in "token_1234567890": "..." it is the name
+    tail = lambda p: F.substring(F.translate(F.substring(p, -BEFORE - 1, BEFORE + 1), "\x02", ""), -BEFORE, BEFORE)
     found = F.transform(
         F.sequence(F.lit(1), F.size("parts") - 1),
         lambda i: F.struct(
@@ -61,10 +68,9 @@ def candidates(docs: DataFrame, text: str = "text", path: str = "path") -> DataF
         ),
     )
     rows = docs.select("doc_id", "text_hash", "path", F.explode(found).alias("c")).select("doc_id", "text_hash", "path", "c.*")
-    value = F.regexp_extract("match", _VALUE, 1)
-    rows = rows.withColumn("value", value).where(F.length("value") >= 8)
-    lead = F.instr("match", F.col("value")) - 1
-    return rows.select("doc_id", "text_hash", "path", (F.col("at") + lead).cast("long").alias("start"), "value", F.concat("before", F.expr("substring(match, 1, instr(match, value) - 1)")).alias("before"), "after")
+    rows = rows.withColumn("head", F.regexp_extract("match", _VALUE, 1)).withColumn("value", F.regexp_extract("match", _VALUE, 2)).where(F.length("value") >= 8)
+    lead = F.length("head")
+    return rows.select("doc_id", "text_hash", "path", (F.col("at") + lead).cast("long").alias("start"), "value", F.concat("before", "head").alias("before"), "after")
 
 
 def featured(found: DataFrame) -> DataFrame:
@@ -90,7 +96,7 @@ def featured(found: DataFrame) -> DataFrame:
         "pairs": (n - F.length(F.regexp_replace(low, "(" + "|".join(PAIRS) + ")", ""))) / n,
         "dots": F.least(F.length(v) - F.length(F.translate(v, ".", "")), F.lit(5)),
         "assigned": near.rlike(r"""[:=]\s*["']?$"""),
-        "named": near.rlike(name + r"""[^a-z]{0,8}$"""),
+        "named": near.rlike(name + r"""(?:[_.-][a-z0-9_.-]*)?[^a-z]{0,8}$"""),
         "quoted": near.rlike(r"""["'`]$"""),
         "benign": near.rlike(r"\b(" + "|".join(BENIGN) + r")\b[^a-z]{0,8}$"),
         "words_after": F.lower("after").rlike(r"^\W{0,3}[a-z]"),
