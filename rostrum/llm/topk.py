@@ -11,12 +11,14 @@ drop more.  The k-th score starts at the best that a few vectors of the shard re
 bite from the first term on.  Shards' results are merged by one more top-k.
 
 Queries and candidates meet in pairs of blocks, each bounded: a task holds one shard and one block of
-queries.  Scores are sums of integers, computed exactly.
+queries.  Scores are sums of integers, computed exactly: where sums may pass 2^53, floats only tell which
+vectors can't enter, and whole numbers of any length score the others.
 
 Defined cases: vectors that are null, or hold a null or a non-finite component, take no part; nor do
 vectors of another length than the query's; rows with a null id take no part; a query is left out of
-its own candidates by id, with all repeated rows of it; equal vectors tie, and the smaller id comes
-first; repeated rows of a candidate count once; fewer than k candidates give as many rows; extra
+its own candidates by id, with all rows of it; equal vectors tie, and the smaller id comes first; rows
+equal in id and vector count once, an id with several vectors is a candidate with each, and as a query
+has the best of all; a component or a score that no 64-bit integer holds is an error; fewer than k candidates give as many rows; extra
 columns are dropped; an empty table gives an empty result.
 """
 
@@ -38,8 +40,14 @@ SCHEMA = "query_id long, vec_id long, score long"
 
 def quantized(vectors: DataFrame, column: str = "embedding", scale: int = 256) -> DataFrame:
     """vec_id and ``v``: floor(scale * x) of each component; without the vectors that take no part."""
-    whole = F.transform(column, lambda x: F.floor(x.cast("double") * scale).cast("int"))
-    fit = F.col("vec_id").isNotNull() & F.col(column).isNotNull() & F.forall(column, lambda x: F.coalesce((F.abs(x.cast("double")) < 1e6) & ~F.isnan(x), F.lit(False)))
+    finite = lambda x: F.coalesce((F.abs(x.cast("double")) < float("inf")) & ~F.isnan(x), F.lit(False))
+
+    def floored(x: Column) -> Column:
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < float(1 << 63), F.floor(y)).when(finite(x), F.raise_error(F.lit("a component is too large for 64 bits")).cast("bigint"))
+
+    whole = F.transform(column, floored)
+    fit = F.col("vec_id").isNotNull() & F.col(column).isNotNull() & F.forall(column, finite)
     return vectors.where(fit).select("vec_id", F.size(column).alias("dims"), whole.alias("v"))
 
 
@@ -48,12 +56,16 @@ class Shard:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids)
-        self.ids, self.by_term = ids[order], np.ascontiguousarray(vectors[order].T.astype(np.float64))
+        self.ids, self.whole = ids[order], vectors[order]
+        self.by_term = np.ascontiguousarray(self.whole.T.astype(np.float64))
         self.low, self.high = self.by_term.min(1), self.by_term.max(1)
+        self.most = np.maximum(np.abs(self.low), np.abs(self.high))
 
     def top(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """(score, id) of the k best, ties to the smaller id.  Floats hold the integers exactly."""
-        q = q.astype(np.float64)
+        """(score, id) of the k best, ties to the smaller id.  Floats hold the integers exactly, or ``_wide`` is asked."""
+        exactly, q = q, q.astype(np.float64)
+        if 4 * (np.abs(q) @ self.most) >= 2.0**53:
+            return self._wide(query_id, exactly, k)
         base = np.minimum(q * self.low, q * self.high)
         bound = np.maximum(q * self.low, q * self.high) - base
         order = np.argsort(-bound, kind="stable")
@@ -94,16 +106,36 @@ class Shard:
         best = np.lexsort((self.ids[alive], -score))[:k]
         return [(int(score[b]), int(self.ids[alive[b]])) for b in best]
 
+    def _wide(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
+        """``top`` for sums that floats do not hold: rounding is bounded, what can still enter is summed in Python's integers."""
+        other = np.flatnonzero(self.ids != query_id)
+        about = q.astype(np.float64) @ self.by_term[:, other]
+        off = np.abs(q.astype(np.float64)) @ np.abs(self.by_term[:, other]) * ((len(q) + 8) * 2.0**-52)
+        if len(other) > k:
+            enter = about + off >= np.sort(about - off)[-k]
+            other = other[enter]
+        asked = [int(x) for x in q]
+        scored = [(sum(a * b for a, b in zip(asked, map(int, self.whole[i]), strict=True)), int(self.ids[i])) for i in other]
+        best = sorted(scored, key=lambda r: (-r[0], r[1]))[:k]
+        if any(not -(1 << 63) <= s < 1 << 63 for s, _ in best):
+            raise OverflowError(f"a score of query {query_id} is too large for 64 bits")
+        return best
+
+
+def _distinct(rows: pd.DataFrame, key: str) -> pd.DataFrame:
+    """Without rows equal in id and vector."""
+    return rows[~pd.DataFrame({"id": rows[key], "v": [np.asarray(v).tobytes() for v in rows["v"]]}).duplicated()]
+
 
 def _searched(k: int):
     def run(_, queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-        found: dict[int, list] = {}
+        found: list[tuple[int, list]] = []
         if len(queries) and len(shard):
-            shard = shard.drop_duplicates("vec_id")
+            shard = _distinct(shard, "vec_id")
             index = Shard(shard["vec_id"].to_numpy(np.int64), np.stack(shard["v"].to_numpy()))
             for query_id, q in zip(queries["query_id"].tolist(), queries["v"], strict=True):
-                found[query_id] = index.top(query_id, np.asarray(q), k)
-        rows = [(q, i, s) for q, best in found.items() for s, i in best]
+                found.append((query_id, index.top(query_id, np.asarray(q), k)))
+        rows = [(q, i, s) for q, best in found for s, i in best]
         return pd.DataFrame({"query_id": pd.Series([r[0] for r in rows], dtype="int64"), "vec_id": pd.Series([r[1] for r in rows], dtype="int64"), "score": pd.Series([r[2] for r in rows], dtype="int64")})
 
     return run
@@ -117,7 +149,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     shards, blocks = max(1, math.ceil(n / SHARD)), max(1, math.ceil(asked / QUERIES))
     every = lambda m, name: F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(name)
     dealt = vectors.select("vec_id", "dims", "v", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), every(blocks, "block"))
-    asked_rows = vectors.where(is_query).dropDuplicates(["vec_id"])
+    asked_rows = vectors.where(is_query).dropDuplicates(["vec_id", "v"])
     queries = asked_rows.select(F.col("vec_id").alias("query_id"), "dims", "v", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), every(shards, "shard"))
     key = ["shard", "block", "dims"]
     found = queries.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInPandas(lambda q, d: _searched(k)(None, q, d), SCHEMA)
