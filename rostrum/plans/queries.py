@@ -192,6 +192,16 @@ def member_detail_merge(spark, d):
     return members.detail(people, contact, synopsis).select("c_custkey", "c_name", "contact", "synopsis")
 
 
+@query("""select c_custkey, c_name, n_name as contact, r_name as synopsis from customer
+    left join nation on n_nationkey = c_nationkey left join region on r_regionkey = n_regionkey""")
+def member_detail_merge_whole(spark, d):
+    people = read_table(spark, d, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("id"))
+    nation = read_table(spark, d, "nation")
+    contact = nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("contact"))
+    synopsis = nation.join(read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("id"), F.col("r_name").alias("synopsis"))
+    return members.detail(people, contact, synopsis).select("c_custkey", "c_name", "contact", "synopsis")
+
+
 @query("select p_partkey, p_name from part where contains(lower(p_name), 'ring') order by p_name desc, p_partkey limit 40 offset 5")
 def bills_sorted(spark, d):
     rows = read_table(spark, d, "part").select("p_partkey", "p_name")
@@ -447,6 +457,13 @@ def member_synopsis(spark, d):
     return people.join(members.synopsis_of(people.select("c_nationkey").distinct(), synopsis, "c_nationkey"), "c_nationkey").select("c_custkey", "synopsis")
 
 
+@query("select c_custkey, r_name as synopsis from customer left join (select n_nationkey, r_name from nation join region on n_regionkey = r_regionkey) on c_nationkey = n_nationkey")
+def member_synopsis_whole(spark, d):
+    synopsis = read_table(spark, d, "nation").join(read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("synopsis"))
+    people = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    return people.join(members.synopsis_of(people.select("c_nationkey").distinct(), synopsis, "c_nationkey"), "c_nationkey").select("c_custkey", "synopsis")
+
+
 @query("""select 9::bigint as id, c_name as name, n_name as contact, null::varchar as synopsis from customer join nation on n_nationkey = c_nationkey where c_custkey = 9""")
 def member_endpoint(spark, d):
     people = read_table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), "c_nationkey")
@@ -481,6 +498,12 @@ def transcript_with_watch(spark, d):
     return members.with_watch_flag(rows, watched, "debate_id")
 
 
+@query("select conv_id as debate_id, turn as pos, conv_id in (select conv_id from conversations) as watched from conversations")
+def transcript_with_watch_whole(spark, d):
+    rows = read_table(spark, d, "conversations").select(F.col("conv_id").alias("debate_id"), F.col("turn").alias("pos"))
+    return members.with_watch_flag(rows, rows.select(F.col("debate_id").alias("id")), "debate_id")
+
+
 @query("select ts::date::varchar as day, max(event_id) as last_event, count(*) as n, count(*) = 0 as none from events group by 1")
 def day_summary(spark, d):
     rows = speakers.with_day(read_table(spark, d, "events").select("event_id", _day("ts").alias("ts")), "ts")
