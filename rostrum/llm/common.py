@@ -6,22 +6,28 @@ import math
 import tempfile
 import uuid
 import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import ship
 
-#: Rows a Python worker receives at once; keeps a batch of very long texts bounded.
+#: Rows and bytes a Python worker receives at once; keeps a batch of very long texts bounded.
 ARROW_ROWS = 500
+ARROW_BYTES = 16 << 20
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where it is unset."""
+    """The shared folder the cluster names.  Where it is unset, a temporary one of this machine if all executors are
+    in the driver's own process, as in tests; else an error, since executors would not see each other's files."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = root.get() if root.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="rostrum-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -63,10 +69,24 @@ def sweep(spark: SparkSession) -> int:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Get ready for Python workers: they have the package, and the rows of one Arrow batch are limited, so that
-    long texts stay within a worker's memory."""
+    """Get ready for Python workers: they have the package, and the rows and bytes of one Arrow batch are limited, so
+    that long texts stay within a worker's memory.  These two settings of the session stay so."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The rows of small batches in tables of about ``rows``, none of them empty."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -77,9 +77,65 @@ def test_nothing(spark):
     assert near.keep_one(corpus.frame(spark, [])).count() == 0
 
 
-def test_depth_reaches_the_recall():
-    d = near.depth()
-    assert 1 - (1 - 0.8**d) ** near.TREES >= near.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** near.TREES
+def test_prefixes_are_shortened_as_the_links_ask():
+    d = near.shortest()
+    assert near.chance(0.8, d) >= near.RECALL > near.chance(0.8, d + 1)
+    high, low = {960: 10_000_000}, {960: 10_000_000, 800: 1_000_000}
+    assert near.recall_at(9, 12, high, 0.8) >= near.RECALL > near.recall_at(9, 12, low, 0.8)
+    assert near.recall_at(d, 12, low, 0.8) >= near.RECALL
+
+
+def test_tries_connect_what_shares_a_prefix(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, [int(h) for h in rng.integers(0, 3, 4)], [int(x) for x in rng.integers(0, 3, 4) * 256**6 + rng.integers(0, 2, 4)]) for i in range(60)]
+    edges = near.forest(spark.createDataFrame(rows, "id long, heads array<long>, tails array<long>").repartition(3), 5)
+    got = [(r["a"], r["b"], r["shared"]) for r in edges.collect()]
+    for depth in (5, 6, 12):
+        name = list(range(60))
+        want = list(range(60))
+        for _ in range(60):
+            for a, b, s in got:
+                if s >= depth:
+                    name[a] = name[b] = min(name[a], name[b])
+        same = lambda x, y: any(h == k and (depth == 5 or s >> 48 == t >> 48) and (depth < 12 or s == t) for h, s in zip(*rows[x][1:]) for k, t in zip(*rows[y][1:]))  # noqa: E731, B023
+        for _ in range(8):
+            for x in range(60):
+                for y in range(x):
+                    if same(x, y):
+                        want[x] = want[y] = min(want[x], want[y])
+        assert name == want
+
+
+def test_large_groups_of_few_kinds(spark, monkeypatch):
+    """Copies edited apart: common kinds, and pairs that only rare shingles decide."""
+    monkeypatch.setattr(near, "BLOCK", 20)
+    monkeypatch.setattr(near, "RARE", 3)
+    monkeypatch.setattr(near, "KINDS", 9)
+    rng = np.random.default_rng(1)
+    base = [f"w{i}" for i in range(60)]
+    pairs = []
+    for i in range(120):
+        w = list(base)
+        for k in rng.choice(60, rng.integers(1, 3), replace=False):
+            w[k] = f"e{rng.integers(0, 6)}"
+        pairs.append((i, " ".join(w)))
+    pairs += [(200 + i, pairs[i][1]) for i in range(0, 30, 3)]
+    assert run(spark, pairs) == brute(pairs)
+
+
+def test_recall_against_exact_pairs(spark):
+    """Pairs at and above the threshold, most of them near it."""
+    rng = np.random.default_rng(3)
+    pairs = []
+    for k in range(150):
+        w = [f"v{k}_{i}" for i in range(100)]
+        e = list(w)
+        for at in rng.choice(20, rng.integers(1, 3), replace=False):
+            e[at * 5 + 2] = f"x{k}_{at}"
+        pairs += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(e))]
+    want = {r[0]: r[2] for r in brute(pairs)}
+    got = {r[0]: r[2] for r in run(spark, pairs)}
+    assert sum(got.values()) >= 0.999 * sum(want.values()) > 0
 
 
 def test_components_of_a_long_path(spark):
