@@ -16,6 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = materialize(both, "edges")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("id"), F.col("b").alias("component"))
     labels = materialize(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("near")).select("id", F.least("id", "near").alias("component")), "components")
     while True:
         near = both.join(labels, both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))

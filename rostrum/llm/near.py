@@ -87,23 +87,28 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(windows(hash_words(words), min(WORDS, len(words))))
 
 
-_SALT = (seeds(TREES * DEEPEST, 17) >> np.uint64(32)).astype(np.uint32)[:, None]
-_ODD = (seeds(TREES * DEEPEST, 18) >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
+_SALT = (seeds(TREES * DEEPEST, 17) >> np.uint64(32)).astype(np.uint32)
+_ODD = (seeds(TREES * DEEPEST, 18) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
-def strings(sets: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
-    """One string for each tree: a name of its first ``floor`` minimum hashes (and the tree), and a byte of each
-    further one, the first in the highest place."""
-    low = (sets ^ (sets >> np.uint64(32))).astype(np.uint32)
+def minima(items: np.ndarray) -> np.ndarray:
+    """The minimum hashes of one set, tree by tree."""
+    low = (items ^ (items >> np.uint64(32))).astype(np.uint32)[:, None]
     least = np.full(TREES * DEEPEST, np.iinfo(np.uint32).max, np.uint32)
-    for k in range(0, len(low), 1024):
-        np.minimum(least, ((low[None, k : k + 1024] ^ _SALT) * _ODD).min(1), out=least)
-    values = mix(least.astype(np.uint64)).reshape(TREES, DEEPEST)
-    head, tail = np.arange(TREES, dtype=np.uint64), np.zeros(TREES, np.int64)
+    for k in range(0, len(low), 64):
+        np.minimum(least, ((low[k : k + 64] ^ _SALT) * _ODD).min(0), out=least)
+    return least
+
+
+def strings(least: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row of minimum hashes one string for each tree: a name of its first ``floor`` ones (and the tree), and a
+    byte of each further one, the first in the highest place."""
+    values = mix(least.astype(np.uint64)).reshape(-1, TREES, DEEPEST)
+    head, tail = np.tile(np.arange(TREES, dtype=np.uint64), (len(values), 1)), np.zeros(values.shape[:2], np.int64)
     for d in range(floor):
-        head = mix(head * np.uint64(0x9E3779B97F4A7C15) + values[:, d])
+        head = mix(head * np.uint64(0x9E3779B97F4A7C15) + values[:, :, d])
     for d in range(floor, DEEPEST):
-        tail = (tail << 8) | (values[:, d] & np.uint64(255)).astype(np.int64)
+        tail = (tail << 8) | (values[:, :, d] & np.uint64(255)).astype(np.int64)
     return head.view(np.int64), tail
 
 
@@ -118,20 +123,20 @@ def shared_lengths(heads: np.ndarray, tails: np.ndarray, floor: int) -> np.ndarr
 
 def _sketched(floor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.empty(0, np.int64)
         for b in batches:
-            sizes, first, second, heads, tails = [], [], [], [], []
+            sizes, first, second, least = [], [], [], []
             for t in b.column("text").to_pylist():
                 s = shingles(t)
                 sizes.append(len(s))
                 with np.errstate(over="ignore"):
                     first.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
                     second.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
-                    head, tail = strings(s, floor) if len(s) else (none, none)
-                heads.append(head)
-                tails.append(tail)
-            lists = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(sizes, pa.int32()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(heads, lists), pa.array(tails, lists)], ["doc_id", "text_hash", "size", "set1", "set2", "heads", "tails"])
+                if len(s):
+                    least.append(minima(s))
+            head, tail = strings(np.array(least, np.uint32).reshape(-1, TREES * DEEPEST), floor)
+            ends = np.cumsum([0] + [TREES * (n > 0) for n in sizes]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel())) for x in (head, tail)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(sizes, pa.int32()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), *lists], ["doc_id", "text_hash", "size", "set1", "set2", "heads", "tails"])
 
     return run
 
