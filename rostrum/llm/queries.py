@@ -70,7 +70,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("path"), "text")
-    found = secrets.scan(docs, secrets.train(spark))
+    found = secrets.scan(docs, secrets.train(spark, secrets.statistics(docs)))
     return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score")
 
 

@@ -11,7 +11,7 @@ HEX = "0c497b5014f705c0be648d68b816f88c209136eb"
 
 def scan(spark, pairs):
     docs = corpus.frame(spark, pairs).withColumn("path", F.lit(None).cast("string"))
-    return secrets.scan(docs, secrets.train(spark))
+    return secrets.scan(docs, secrets.train(spark, secrets.statistics(docs)))
 
 
 def test_findings_are_where_they_say(spark):
@@ -28,8 +28,8 @@ def test_findings_are_where_they_say(spark):
 
 def test_the_forest_keeps_secrets_and_drops_the_rest(spark):
     found = spark.createDataFrame(secrets.labelled_findings(1200, seed=99), "value string, before string, after string, path string, label int")
-    model = secrets.train(spark)
-    rows = model.transform(secrets.assembled(secrets.featured(found))).select("label", "prediction").collect()
+    scanner = secrets.train(spark, secrets.statistics(corpus.frame(spark, corpus.rows(20))))
+    rows = scanner.forest.transform(secrets.assembled(secrets.featured(found, scanner.known))).select("label", "prediction").collect()
     right = sum(r["label"] == r["prediction"] for r in rows) / len(rows)
     assert right > 0.95
 
@@ -37,7 +37,7 @@ def test_the_forest_keeps_secrets_and_drops_the_rest(spark):
 def test_held_tables(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     want = sorted((r["doc_id"], m.start(1)) for r in docs.collect() for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r["text"]))
-    got = secrets.scan(docs.withColumnRenamed("source", "path"), secrets.train(spark))
+    got = secrets.scan(docs.withColumnRenamed("source", "path"), secrets.train(spark, secrets.statistics(docs)))
     assert sorted((r["doc_id"], r["start"]) for r in got.collect()) == want
 
 
