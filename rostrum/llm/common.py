@@ -44,13 +44,19 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._rostrum_path = path
+    _file_system(spark, path)[0].deleteOnExit(_file_system(spark, path)[1])  # if nothing deletes it sooner
     _written.append(path)
     return out
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
 
 
 def discard(df: DataFrame) -> None:
@@ -106,6 +112,19 @@ def crc32_text(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def longs(values: list[int | None]) -> Column:
+    """An array of numbers as one literal, however many there are."""
+    return F.transform(F.split(F.lit(",".join("" if v is None else str(v) for v in values)), ","), lambda x: F.when(x != "", x.cast("bigint")))
+
+
 def ceil_div(a: int, b: int) -> int:
     return max(1, math.ceil(a / b))
 

@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import partitions
+from .common import fresh, longs, partitions
 
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
@@ -86,11 +86,10 @@ def range_of(value: Column, cuts: list[int]) -> Column:
     g = math.isqrt(len(cuts)) + 1
     groups = [cuts[k : k + g] for k in range(0, len(cuts), g)]
     below = lambda bounds: F.size(F.filter(bounds, lambda b: b < value))
-    lit = lambda xs: F.array(*[F.lit(x).cast("bigint") for x in xs])
-    whole = below(lit([c[-1] for c in groups]))
-    inside = F.get(F.array(*map(lit, groups)), whole)
+    whole = below(longs([c[-1] for c in groups]))
+    inside = F.slice(longs(cuts), whole * g + 1, g)
     # the last group may be short
-    return F.least(whole * g + F.coalesce(F.when(inside.isNotNull(), below(inside)), F.lit(0)), F.lit(len(cuts)))
+    return F.least(whole * g + below(inside), F.lit(len(cuts)))
 
 
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -98,23 +97,28 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     the end, ties by text hash), the first after the last.
 
     Rows are dealt once, by ranges of doc_id; the first row of each range also goes to the range before it.
-    The driver holds one boundary and one doc_id a range.
+    The driver holds one boundary and one doc_id a range.  Columns of ``docs`` named ``next_<c>`` are replaced.
     """
     spark = docs.sparkSession
     ranges = partitions(spark)
     ids = docs.select("doc_id")
-    cuts = ids.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)] or [0.5], 20_000)).first()[0] or []
+    at = F.split(F.lit(",".join(repr(k / max(ranges, 2)) for k in range(1, max(ranges, 2)))), ",").cast("array<double>")
+    cuts = ids.agg(F.percentile_approx("doc_id", at, 20_000)).first()[0] or []
     bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(range_of(F.col("doc_id"), sorted(set(cuts))))
     tops = sorted(((r["bucket"], r["top"]) for r in ids.groupBy(bucket.alias("bucket")).agg(F.max("doc_id").alias("top")).collect()), key=lambda r: r[0])
     # the range before in descending order is the next one above; before the first comes the last
-    also = F.lit(None).cast("int")
-    for k, (own, top) in enumerate(tops):
-        above = tops[(k + 1) % len(tops)][0]
-        also = F.when((F.col("bucket") == own) & F.col("doc_id").eqNullSafe(F.lit(top)), above).otherwise(also)
-    dealt = docs.withColumn("bucket", bucket)
-    dealt = dealt.withColumn("place", F.explode(F.array(F.struct(F.col("bucket").alias("at"), F.lit(False).alias("copy")), F.struct(also.alias("at"), F.lit(True).alias("copy"))))).where("place.at is not null")
-    line = Window.partitionBy("place.at").orderBy("place.copy", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
-    return dealt.select("*", *[F.lead(c).over(line).alias(f"next_{c}") for c in columns]).where("not place.copy").drop("bucket", "place")
+    top, above = [None] * (max([0, *(own for own, _ in tops)]) + 1), {}
+    for k, (own, last) in enumerate(tops):
+        top[own], above[own] = last, tops[(k + 1) % len(tops)][0]
+    # one literal for all ranges, whatever their number
+    own, place = fresh(docs, "own_range"), fresh(docs, "place_of_range")
+    first = F.get(longs(top), F.col(own).cast("int")).eqNullSafe(F.col("doc_id"))
+    also = F.when(first, F.get(longs([above.get(k) for k in range(len(top))]), F.col(own).cast("int")).cast("int"))
+    dealt = docs.withColumn(own, bucket.cast("int"))
+    dealt = dealt.withColumn(place, F.explode(F.array(F.struct(F.col(own).alias("at"), F.lit(False).alias("copy")), F.struct(also.alias("at"), F.lit(True).alias("copy"))))).where(F.col(place)["at"].isNotNull())
+    line = Window.partitionBy(F.col(place)["at"]).orderBy(F.col(place)["copy"], F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in {f"next_{x}".lower() for x in columns}]
+    return dealt.select(*kept, place, *[F.lead(c).over(line).alias(f"next_{c}") for c in columns]).where(~F.col(place)["copy"]).drop(place)
 
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
