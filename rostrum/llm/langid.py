@@ -5,7 +5,8 @@ a document's distribution is the mean over its positions.  Whole texts are read:
 windows of ``SPAN`` bytes, all of which run through both directions.
 
 Defined cases: a null text, or one with no letter, gets ``und`` with score 0; repeated rows get equal
-results; extra columns pass through; an empty table gives an empty result; without any training row
+results; a row without a doc_id is predicted as any other (the query gives it a null ``held_out`` and does not learn
+from it); extra columns pass through; an empty table gives an empty result; without any training row
 every text gets ``und`` with score 0.
 """
 
@@ -175,14 +176,18 @@ def fit(windows: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: in
 
 def train(docs: DataFrame, train_rows: Column, per_label: int = 500, windows: int = 4) -> ByteTagger:
     """Learn from text and language of at most ``per_label`` documents of each language (lowest
-    ``xxhash64(doc_id)`` first) and ``windows`` windows of each, a bound that does not grow with the
+    ``xxhash64(doc_id)`` first, out of the about ``4 * per_label`` that reach the ranking) and ``windows`` windows of each, a bound that does not grow with the
     corpus.  The set of language names must be small, as it is for any labelled corpus."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-    ids = docs.where(train_rows & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", "text")
+    order = Window.partitionBy("lang").orderBy("place", F.xxhash64("text"))
+    ids = docs.where(train_rows & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("place"))
+    # a language of very many rows is thinned by its hash before anything moves: four times what is wanted stays
+    many = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 4 * per_label).collect()}
+    below = F.create_map(*[F.lit(x) for lang, n in sorted(many.items()) for x in (lang, int(4 * per_label / n * 2**64) - 2**63)])[F.col("lang")] if many else F.lit(None).cast("bigint")
+    ids = ids.where(F.col("place") <= F.coalesce(below, F.lit(2**63 - 1)))
     # cut on the executors, before anything moves: what is ranked are a few short windows of each document
     size = F.length("text")
     places = [F.substring("text", (1 + F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(size - SPAN, F.lit(1)))).cast("int"), F.lit(SPAN)) for k in range(windows)]
-    cut = ids.select("doc_id", "lang", F.array(*places).alias("cuts"), F.xxhash64("text").alias("text"))
+    cut = ids.select("place", "lang", F.array(*places).alias("cuts"), F.xxhash64("text").alias("text"))
     got = cut.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_label).select("lang", "rank", "cuts").toArrow()
     rows = sorted(zip(got["lang"].to_pylist(), got["rank"].to_pylist(), got["cuts"].to_pylist(), strict=True))
     pairs = [(lang, c.encode("utf-8", "surrogatepass")) for lang, _, cuts in rows for c in cuts if has_letter(c)]

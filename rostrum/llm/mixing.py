@@ -29,6 +29,7 @@ BLOCKS = 256
 STEPS = 1 << 16
 #: Sources whose settings are broadcast; more are joined by a shuffle.
 BROADCAST_SOURCES = 50_000
+#: Columns of the output; those of the input with these names are replaced.
 OUTPUTS = ["tokens", "copy", "block", "schedule", "weight", "share"]
 
 
@@ -82,8 +83,9 @@ def exponent(shares: DataFrame, target_entropy: float, repeat_limit: float, sect
 def mix(docs: DataFrame, target_entropy: float = 0.97, repeat_limit: float = 2.0, budget: int | None = None) -> DataFrame:
     """``docs`` with ``tokens``, ``copy`` (number of the pass), ``block``, ``schedule`` (place in the mixture, in
     [0, 1)), ``weight`` and ``share`` of the source; a row for each time that the document is read."""
-    kept = [c for c in docs.columns if c not in OUTPUTS]
-    rows = docs.select(*kept, tokens_of(F.col("text")).alias("tokens"), _key().alias("key"), _block().alias("block"))
+    kept = [c for c in docs.columns if c.lower() not in OUTPUTS]
+    # the columns that pass through travel as one, so that no name of theirs meets one of these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "doc_id", tokens_of(F.col("text")).alias("tokens"), _key().alias("key"), _block().alias("block"))
     sums = materialize(rows.withColumn("step", _step()).groupBy("key", "block", "step").agg(F.sum("tokens").alias("tokens")), "blocks")
     sources = sums.groupBy("key").agg(F.sum("tokens").alias("total"))
     total, n = sources.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.lit(1))).first()
@@ -109,4 +111,4 @@ def mix(docs: DataFrame, target_entropy: float = 0.97, repeat_limit: float = 2.0
     copies = F.col("whole") + F.coalesce(extra, F.lit(False)).cast("int")
     read = met.where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
     schedule = F.least((F.col("copy") + _turn(F.col("copy"))) / F.greatest("repeats", F.lit(1e-12)), F.lit(1.0))
-    return read.select(*kept, "tokens", "copy", "block", schedule.alias("schedule"), "weight", "share")
+    return read.select("row.*", "tokens", "copy", "block", schedule.alias("schedule"), "weight", "share")

@@ -7,9 +7,8 @@ arriving piece is cut to fill it first.  The windows still open at the end of th
 their pieces follow each other into new windows, and the last one of each group of partitions is
 divided into windows of powers of two, which need no padding.
 
-Memory: one batch of texts and ``open_windows`` windows a task; a merging task holds the leftovers of
-``MERGE`` partitions, a bound that does not grow with the input.  Nothing but those leftovers is
-shuffled.
+Memory: one batch of texts and ``open_windows`` windows a task; a merging task reads the leftovers in
+order and holds a batch of them and one window.  Nothing but those leftovers is shuffled.
 
 Defined cases: a null text counts as the empty one and gives the single closing id; very long texts
 are cut into windows; repeated rows are packed each; extra columns are dropped; an empty table gives an
@@ -19,6 +18,8 @@ empty result.
 from __future__ import annotations
 
 import bisect
+import itertools
+import json
 import os
 import re
 import struct
@@ -28,12 +29,13 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import bounded_batches, materialize, partitions
+from .common import ARROW_ROWS, bounded_batches, materialize, partitions
 
 WINDOW = 2048
-#: Partitions whose leftovers one task merges.
-MERGE = 64
+#: Partitions whose leftovers follow each other into windows.
+MERGE = 8
 WIDTH = 4  # bytes of an id, little-endian
 _CACHED_WORDS = 800_000
 #: Latin letters, then ASCII punctuation.
@@ -58,13 +60,20 @@ def _byte_alphabet() -> dict[int, str]:
 _BYTE_ALPHABET = _byte_alphabet()
 
 
+# The settings of a tokenizer file with which texts may be cut into words before they are merged.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
 class Encoder:
     """Ids of whole texts by the ``tokenizers`` library, as little-endian 32-bit words.
 
-    The tokenizer splits at blanks before it merges, so that a text's ids are those of its
-    blank-separated words one after another; a word of Latin letters with punctuation after it is split
-    between the two as well, and case does not count.  Words and their parts are kept in bounded caches.
-    Texts that may hold a special token's string go through the tokenizer whole.
+    A tokenizer whose file has the settings above splits at blanks before it merges, so that a text's ids
+    are those of its blank-separated words one after another; a word of Latin letters with punctuation
+    after it is split between the two as well, and case does not count.  Words and their parts are kept in
+    bounded caches.  Texts that hold an added token's string, and all texts where the file has other
+    settings, go through the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -72,6 +81,12 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            settings = json.load(f)
+        self.added = [t["content"] for t in settings.get("added_tokens") or []]
+        cut = {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]}
+        plain = settings["model"].get("type") == "BPE" and not settings["model"].get("dropout") and not settings.get("truncation") and not settings.get("padding")
+        self.by_words = plain and settings.get("normalizer") == _NORMALIZER and settings.get("pre_tokenizer") == cut
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {"": b""}
 
@@ -109,7 +124,9 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if "<|" not in text else None for text in texts]
+        if not self.by_words:
+            return self._ids(texts)
+        split = [None if any(a in text for a in self.added) else text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
         seen = set().union(*[w for w in split if w])
         if missing := seen.difference(self.words):
             self._learn(list(missing) if len(self.words) <= _CACHED_WORDS else list(seen))
@@ -231,6 +248,7 @@ def pack(docs: DataFrame, tokenizer_path: Callable[[], str], end_id: int = 1, wi
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select("doc_id", "text")
+    rows_kind = to_arrow_type(rows.schema["doc_id"].dataType)
     schema = _SCHEMA.format(kind=rows.schema["doc_id"].dataType.simpleString())
     end = struct.pack("<I", end_id)
 
@@ -250,20 +268,17 @@ def pack(docs: DataFrame, tokenizer_path: Callable[[], str], end_id: int = 1, wi
             yield out.batch()
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[int, list] = {}
-        kind = pa.int64()
-        for b in batches:
-            kind = b.column("doc_id").type
-            for r in b.to_pylist():
-                groups.setdefault(r["stream"] // MERGE, []).append((r["stream"], r["sequence_id"], r["offset"], r["doc_id"], r["start"], r["ids"], r["doc_tokens"]))
-        for group, pieces in groups.items():
-            pieces.sort(key=lambda p: p[:3])
+        kind = rows_kind
+        pieces = ((r["stream"] // MERGE, (r["doc_id"], r["start"], r["ids"], r["doc_tokens"])) for b in batches for r in b.to_pylist())
+        for group, own in itertools.groupby(pieces, key=lambda p: p[0]):  # sorted: the pieces of a group stand together
             out = _Rows(kind, group, with_ids)
-            for sequence in merged(iter([p[3:] for p in pieces]), (1 << 62) | (group << 32), window):
+            for sequence in merged((p for _, p in own), (1 << 62) | (group << 32), window):
                 out.put(sequence)
+                if len(out.rows) >= ARROW_ROWS:
+                    yield out.batch()
             yield out.batch()
 
     done = materialize(rows.mapInArrow(first, schema), "pack")
-    left = done.where("open").repartition(partitions(spark), (F.col("stream") / MERGE).cast("long"))
+    left = done.where("open").repartition(partitions(spark), F.floor(F.col("stream") / MERGE)).sortWithinPartitions("stream", "sequence_id", "offset")
     out = done.where(~F.col("open")).unionByName(left.mapInArrow(second, schema)).drop("open", "stream")
     return out if with_ids else out.drop("ids")

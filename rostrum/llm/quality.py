@@ -9,7 +9,8 @@ statistics (character classes, repeats, line shapes) one-hot in fixed bins, (c)
 of the text in characters, one-hot in powers of two.
 
 Defined cases: a null text counts as the empty one; the empty text has only structure and length
-features and gets the model's score for them; repeated rows get equal scores; extra columns pass
+features and gets the model's score for them; very long texts are read whole, a text at a time; a row without a
+doc_id is scored as any other; repeated rows get equal scores; extra columns pass
 through untouched; an empty table gives an empty result; with no usable labels, or labels of one
 class, every score is that class's share (0.5 without labels).
 """
@@ -136,11 +137,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rank: int
 
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: Column, max_labels: int = 4000) -> FactorizationMachine:
-    """Fit on at most ``max_labels`` labelled documents (lowest ``xxhash64(doc_id)`` first, a bound
-    that does not grow with the corpus).  Their features, not their texts, reach the driver."""
+    """Fit on at most ``max_labels`` labelled rows (lowest ``xxhash64(doc_id)`` first, a bound
+    that does not grow with the corpus); labels and rows without a doc_id are not learned from.  Their features, not their texts, reach the driver."""
     bounded_batches(docs.sparkSession)
     picked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).where(train_rows).groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "quality").mapInArrow(_featurized, "idx array<int>, val array<float>, quality int").toArrow()
+    met = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "quality", F.xxhash64("doc_id", "text").alias("place"))
+    # a doc_id may have several rows: the bound holds for what reaches the driver, too
+    rows = met.mapInArrow(_featurized, "idx array<int>, val array<float>, quality int, place long").orderBy("place", "quality").limit(max_labels).toArrow()
     # a deterministic order whatever the order of arrival
     got = sorted(zip(rows["quality"].to_pylist(), rows["idx"].to_pylist(), rows["val"].to_pylist(), strict=True))
     return fit([(np.array(i, np.int64), np.array(v)) for _, i, v in got], np.array([q for q, _, _ in got]))
@@ -149,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column, max_labels: in
 def _featurized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = [features(t) for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([i.astype(np.int32) for i, _ in rows], pa.list_(pa.int32())), pa.array([v.astype(np.float32) for _, v in rows], pa.list_(pa.float32())), b.column("quality")], ["idx", "val", "quality"])
+        yield pa.RecordBatch.from_arrays([pa.array([i.astype(np.int32) for i, _ in rows], pa.list_(pa.int32())), pa.array([v.astype(np.float32) for _, v in rows], pa.list_(pa.float32())), b.column("quality"), b.column("place")], ["idx", "val", "quality", "place"])
 
 
 def score(docs: DataFrame, model: FactorizationMachine, text: str = "text", out: str = "quality_score") -> DataFrame:

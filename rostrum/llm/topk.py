@@ -33,8 +33,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import ship
 
+#: Vectors of a shard, queries of a block: each vector is dealt once for every block, each query once for every shard.
 SHARD = 8192
-QUERIES = 1024
+QUERIES = 8192
 SCHEMA = "query_id long, vec_id long, score long"
 
 
