@@ -107,13 +107,15 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(range_of(F.col("doc_id"), sorted(set(cuts))))
     tops = sorted(((r["bucket"], r["top"]) for r in ids.groupBy(bucket.alias("bucket")).agg(F.max("doc_id").alias("top")).collect()), key=lambda r: r[0])
     # the range before in descending order is the next one above; before the first comes the last
-    top, above = [None] * (max([0, *(own for own, _ in tops)]) + 1), {}
-    for k, (own, last) in enumerate(tops):
-        top[own], above[own] = last, tops[(k + 1) % len(tops)][0]
-    # one literal for all ranges, whatever their number
+    # by range: its first id, whether that is null, and the range above; literals, whatever the number of ranges
+    n = max([0, *(r for r, _ in tops)]) + 1
+    top, none, above = [0] * n, [1] * n, [0] * n
+    for k, (r, last) in enumerate(tops):
+        top[r], none[r], above[r] = last or 0, int(last is None), tops[(k + 1) % len(tops)][0]
     own, place = fresh(docs, "own_range"), fresh(docs, "place_of_range")
-    first = F.get(longs(top), F.col(own).cast("int")).eqNullSafe(F.col("doc_id"))
-    also = F.when(first, F.get(longs([above.get(k) for k in range(len(top))]), F.col(own).cast("int")).cast("int"))
+    at = lambda values: F.get(longs(values), F.col(own))
+    first = F.when(at(none) == 1, F.col("doc_id").isNull()).otherwise(F.col("doc_id") == at(top))
+    also = F.when(first, at(above).cast("int"))
     dealt = docs.withColumn(own, bucket.cast("int"))
     dealt = dealt.withColumn(place, F.explode(F.array(F.struct(F.col(own).alias("at"), F.lit(False).alias("copy")), F.struct(also.alias("at"), F.lit(True).alias("copy"))))).where(F.col(place)["at"].isNotNull())
     line = Window.partitionBy(F.col(place)["at"]).orderBy(F.col(place)["copy"], F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))

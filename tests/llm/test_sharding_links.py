@@ -18,10 +18,10 @@ def links(spark, texts):
 
 def test_links_come_from_the_whole_text(spark):
     new = lambda k: " ".join(corpus.words(RNG, k))
-    passage = " ".join(f"p{i}" for i in range(sharding.WINDOW + 4))
+    passage = " ".join(f"p{i}" for i in range(8 * sharding.EVERY))
     got = links(spark, [
         f"{new(50)} {BODY} {new(50)}", f"{new(50)} {BODY} {new(50)}",  # other headers and footers
-        f"{new(200)} {passage} {new(200)}", f"{new(90)} {passage} {new(300)}",  # the least passage that is always met
+        f"{new(200)} {passage} {new(200)}", f"{new(90)} {passage} {new(300)}",  # a passage with some anchors
         "five words of a short text", "Five  words of a short text here",  # short texts
         "two words", "Two words", "", None,
     ])
