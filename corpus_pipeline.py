@@ -3,8 +3,12 @@
 quality   documents that the classifier rejects go; all others stay as they are
 near      one document of each near-duplicate class stays
 secrets   confirmed secrets are replaced in the texts; no document goes
-mixing    sources are brought to their weights by repeated passes; every document is read at least once
-packing   the token streams are packed into windows
+mixing    sources are brought to their weights by repeated passes; every document is read at least once; rows are
+          written in the order of the mixture's schedule
+packing   the token streams are packed into windows, in that order
+
+Null ids, null and empty texts, repeated rows and an empty table pass through every stage as its operator states;
+columns of any name pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -12,14 +16,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rostrum.llm import mixing, near, packing, quality, secrets
-from rostrum.llm.common import id_crc, materialize
+from rostrum.llm.common import fresh, id_crc, materialize
 
 QUALITY_KEPT_FROM = 0.3
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), id_crc() % 5 != 0)
-    return quality.score(docs, model, out="_score").where(F.col("_score") >= QUALITY_KEPT_FROM).select(*docs.columns)
+    out = fresh(docs, "quality_score")
+    return quality.score(docs, model, out=out).where(F.col(out) >= QUALITY_KEPT_FROM).drop(out)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,11 +32,14 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs, secrets.scan(docs, secrets.train(spark), path="source"))
+    return secrets.redact(docs, secrets.scan(docs, secrets.train(spark, secrets.statistics(docs)), path="source"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).select(*docs.columns)
+    # the columns travel as one, so that those named like an output of the mixture keep their values
+    mixed = mixing.mix(docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")))
+    order = ["schedule", F.xxhash64("doc_id", "copy")]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select("document.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
