@@ -29,7 +29,7 @@ from .common import discard, longs, materialize
 from .fingerprints import BLANKS, let
 
 #: One of so many words is an anchor; a power of two.
-EVERY = 8
+EVERY = 16
 #: A link with more than this part of all ends, or this many, is dealt by ``SALTS`` salts; there are at most ``HOT`` such.
 HOT = 4096
 LOT = 2000
