@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, Window, functions as F
 
 from .text import missing, or_default
 
@@ -84,6 +84,13 @@ def row_key(first: Column, *others: Column) -> Column:
     return F.coalesce(*[F.nullif(c.cast("string"), F.lit("")) for c in (first, *others)])
 
 
+def indexed_key(first: Column, *order: Column) -> Column:
+    """PRJ-15 where no other column tells rows apart: the place among the rows of the same list, from 0.  ``order`` begins with
+    the list's column."""
+    place = F.row_number().over(Window.partitionBy(order[0]).orderBy(*order[1:])) - 1
+    return row_key(first, place)
+
+
 def shown_keywords(keywords: Column, n: int = 4) -> tuple[Column, Column]:
     """The first ``n`` keywords, and the note of how many more there are or null (PRJ-17)."""
     more = F.size(keywords) - n

@@ -14,8 +14,8 @@ MARK = '<mark class="highlight-match">'
 # What the sanitiser lets through.
 ALLOWED_TAGS = ["b", "i", "em", "strong", "a", "p", "br", "ul", "ol", "li", "span", "div", "mark", "sub", "sup", "blockquote"]
 ALLOWED_ATTRIBUTES = ["href", "class", "target", "rel"]
-#: Characters that do not count in an address: controls and white space.
-_UNSEEN = dict.fromkeys([*range(0x00, 0x21), 0xA0, 0x1680, 0x180E, *range(0x2000, 0x202A), 0x205F, 0x3000])
+# Schemes of addresses that the sanitiser lets through.
+ALLOWED_SCHEMES = ["http", "https", "ftp", "ftps", "mailto", "tel", "callto", "sms", "cid", "xmpp", "matrix"]
 #: Elements whose content goes with them.
 DROPPED_WHOLE = ["script", "style", "template", "iframe", "noscript", "noembed", "noframes", "object", "svg", "math", "title", "textarea", "xmp"]
 
@@ -65,8 +65,9 @@ def match_count(c: Column, term: str) -> Column:
 
 
 def parts(c: Column, term: str) -> Column:
-    """Pieces of plain text in order, as structs of part and is_match (STR-9)."""
-    cut = F.split(F.regexp_replace(c, f"(?iu)({escaped(term)})", "\x01$1\x01"), "\x01")
+    """Pieces of plain text in order, as structs of part and is_match (STR-9); U+0001, which marks the cuts, is dropped from
+    the text."""
+    cut = F.split(F.regexp_replace(F.translate(c, "\x01", ""), f"(?iu)({escaped(term)})", "\x01$1\x01"), "\x01")
     return F.transform(cut, lambda p: F.struct(p.alias("part"), (F.lower(p) == term.lower()).alias("is_match")))
 
 
@@ -125,11 +126,13 @@ class _Sanitiser(HTMLParser):
 
 
 def _safe(name: str, value: str | None) -> bool:
-    """Links lead to the web, to mail, to a phone or within the site."""
+    """An address within the site, or one whose scheme is allowed.  Blanks and controls do not hide a scheme."""
     if name != "href":
         return True
-    bare = (value or "").translate(_UNSEEN).lower()
-    return bool(re.match(r"(?:(?:https?|ftps?|mailto|tel|callto|sms|cid|xmpp|matrix):|[^a-z]|[a-z+.\-]+(?:[^a-z+.\-:]|$))", bare)) or not bare
+    address = "".join(c for c in value or "" if c.isprintable() and not c.isspace())
+    scheme, colon, _ = address.partition(":")
+    has_scheme = colon and not any(mark in scheme for mark in "/?#")
+    return not has_scheme or scheme.lower() in ALLOWED_SCHEMES
 
 
 def sanitise(html: str | None) -> str:

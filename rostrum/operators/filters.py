@@ -76,6 +76,11 @@ def transcript(items: DataFrame, speaker: int | None = None, term: str = "", *,
     return kept.where(found_in(term, F.col(value), F.col(who)))
 
 
+def lookup_if(rows: DataFrame, key: str, value) -> DataFrame:
+    """The rows of one key; none, without a scan, while the key is not known yet (FIL-12)."""
+    return nothing(rows) if value is None or value == "" else rows.where(F.col(key) == value)
+
+
 def nothing(rows: DataFrame) -> DataFrame:
     """The empty relation of a query whose inputs are missing (FIL-12)."""
     return rows.limit(0)

@@ -8,6 +8,10 @@ from ..functions.dates import day_key
 from ..functions.text import missing
 
 
+#: Ranges of places in which a day's rows are numbered.
+CELLS = 32
+
+
 def speakers(items: DataFrame, debate: str = "debate_id", pos: str = "pos") -> DataFrame:
     """One row per speaker of each debate: debate, member_id, name, party, contributions, first_pos, rank.
 
@@ -29,9 +33,18 @@ def with_day(rows: DataFrame, date: str, day: str = "day") -> DataFrame:
 
 
 def by_day(rows: DataFrame, date: str, pos: str) -> DataFrame:
-    """Rows of each day in input order: day, place (from 1) and the rows, for days of bounded size."""
-    line = Window.partitionBy("day").orderBy(pos)
-    return with_day(rows, date).withColumn("place", F.row_number().over(line).cast("bigint"))
+    """Rows of each day in input order: day, place (from 1) and the rows.
+
+    A day may hold any part of all rows: its rows are numbered in ``CELLS`` ranges of ``pos``, a number, each by a
+    task of its own, and the places before a range are added.  The driver sees one boundary a range.
+    """
+    cuts = sorted(set(rows.agg(F.percentile_approx(pos, [k / CELLS for k in range(1, CELLS)], 10_000)).first()[0] or []))
+    cell = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(pos))) if cuts else F.lit(0)
+    celled = with_day(rows, date).withColumn("_cell", cell)
+    inside = celled.withColumn("_inside", F.row_number().over(Window.partitionBy("day", "_cell").orderBy(pos)))
+    counts = celled.groupBy("day", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("day", "_cell", (F.sum("_n").over(Window.partitionBy("day").orderBy("_cell")) - F.col("_n")).alias("_before"))
+    return inside.join(before, ["day", "_cell"]).withColumn("place", (F.col("_before") + F.col("_inside")).cast("bigint")).drop("_cell", "_inside", "_before")
 
 
 def days(rows: DataFrame, date: str) -> DataFrame:
@@ -43,6 +56,12 @@ def per_day(rows: DataFrame, date: str) -> DataFrame:
     return with_day(rows, date).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
 
+def held(keys: DataFrame, rows: DataFrame, key: str, of: str) -> DataFrame:
+    """``keys`` with ``held``: does ``rows`` have the key (AGG-6 for many at once)."""
+    there = rows.select(F.col(of).alias(key)).distinct().withColumn("held", F.lit(True))
+    return keys.join(there, key, "left").withColumn("held", F.coalesce("held", F.lit(False)))
+
+
 def holds(rows: DataFrame, key: str, value) -> bool:
     """Is there such a row (AGG-6)."""
     return not rows.where(F.col(key) == value).isEmpty()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import js_trim
 
@@ -39,9 +39,12 @@ def remove_all(state: DataFrame, gone: DataFrame, key: str = "id") -> DataFrame:
 
 
 def update(state: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
-    """Columns that a change names replace the row's; a null leaves it, an unknown id does nothing (SET-5)."""
+    """Columns that a change names replace the row's; a null leaves it, an unknown id does nothing; of several changes of
+    one id the later one counts, column by column (SET-5)."""
     named = [c for c in changes.columns if c != key and c in state.columns]
-    met = state.join(changes.select(key, *[F.col(c).alias(f"_new_{c}") for c in named]), key, "left")
+    placed = changes.withColumn("_at", F.monotonically_increasing_id())
+    last = placed.groupBy(key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_at"))).alias(f"_new_{c}") for c in named])
+    met = state.join(last, key, "left")
     return met.select(*[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in named else F.col(c) for c in state.columns])
 
 
@@ -52,6 +55,11 @@ def topic(spark, name: str, keywords: Sequence[str], topic_id: str | None = None
     return made.withColumn("keywords", F.filter("keywords", lambda k: js_trim(k) != ""))
 
 
+def savable(name: Column, keywords: Column) -> Column:
+    """FIL-8 for rows: a name, and a keyword, that are more than blanks."""
+    return F.coalesce((js_trim(name) != "") & F.exists(keywords, lambda k: js_trim(k) != ""), F.lit(False))
+
+
 def may_save(name: str, keywords: Sequence[str]) -> bool:
     """FIL-8."""
     return bool(name.strip()) and any(k.strip() for k in keywords)

@@ -38,6 +38,11 @@ def people(rows: DataFrame, params: dict, *, name: str, key: str, house: str, cu
     return filters.search(kept, term, [name], key, house=named, house_column=house, **v.paging(params))
 
 
+def current_members(rows: DataFrame, name: str, *, column: str, key: str, current: str, take: int | None = 20) -> DataFrame:
+    """Members who sit now, by name (SRC-5)."""
+    return filters.search(rows.where(F.col(current)), name, [column], key, take=take)
+
+
 def bills(rows: DataFrame, params: dict, *, title: str, key: str, updated: str, house: str | None = None) -> DataFrame:
     """Bills by title, in one of four orders (SRC-11)."""
     term = v.text(params.get("search"), longest=200) or ""

@@ -427,10 +427,14 @@ def normalise_house(spark, d):
 @query("""select (select count(distinct role) from conversations where role <> 'system') as speakers,
     (select count(*) from customer where c_acctbal < 0) as watched, 15::bigint as keywords, (select count(*) = 0 from pages) as no_pages""")
 def global_counts(spark, d):
-    said = speakers.speakers(_items(spark, d)).agg(F.count_distinct("name")).first()[0]
-    words = topics.seed_topics(spark).agg(F.sum(F.size("keywords"))).first()[0]
-    counts = (F.lit(v).cast("bigint").alias(k) for k, v in (("speakers", said), ("watched", _watched(spark, d).count()), ("keywords", words)))
-    return spark.range(1).select(*counts, F.lit(read_table(spark, d, "pages").isEmpty()).alias("no_pages"))
+    n = F.count(F.lit(1))
+    counts = {
+        "speakers": speakers.speakers(_items(spark, d)).agg(F.count_distinct("name")),
+        "watched": _watched(spark, d).agg(n),
+        "keywords": topics.seed_topics(spark).agg(F.sum(F.size("keywords"))),
+        "no_pages": read_table(spark, d, "pages").limit(1).agg(n == 0),
+    }
+    return spark.range(1).select(*[one.scalar().alias(k) for k, one in counts.items()])
 
 
 @query("""select event_id, '{"event_id":' || event_id || ',"event_type":"' || event_type || '"}' as body from events""")

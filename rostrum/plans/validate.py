@@ -1,14 +1,34 @@
-"""Parameters, checked before a plan is made (VAL-1 to VAL-8)."""
+"""Parameters, checked before a plan is made (VAL-1 to VAL-8).
+
+Each kind of parameter is a table of rules, a test and what to say when it fails, tried in order on what was
+read from the text.  ``checks`` has the same rules for columns.
+"""
 
 from __future__ import annotations
 
 import datetime
 import re
+from collections.abc import Callable
 
 HOUSES = ("Commons", "Lords")
 #: White space as the original's trim has it.
 _BLANK = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
 
+#: What is said of a value, by what is wrong with it.
+SAYS = {
+    "missing": "a value is needed here",
+    "type": "this has to be text",
+    "long": "the text is too long: at most {most} characters",
+    "pattern": "the text does not have the form that is asked for",
+    "number": "this is not a whole number",
+    "range": "the number has to lie between {least} and {most}",
+    "form": "a date is written as year-month-day, such as 2024-01-31",
+    "calendar": "the calendar has no such day",
+    "house": "the house is either Commons or Lords",
+}
+
+Rule = tuple[str, Callable[[object], bool]]
+
 
 class Invalid(ValueError):
     """A parameter out of its bounds."""
@@ -19,59 +39,50 @@ class Invalid(ValueError):
         return {"error": str(self)}
 
 
-def _absent(value, required: bool, what: str = "parameter") -> bool:
-    if value is None or value == "":
-        if required:
-            raise Invalid(f"Required {what} is missing")
-        return True
-    return False
+def _held(value, rules: list[Rule], **bounds):
+    """``value``, if it passes every rule."""
+    for fault, passes in rules:
+        if not passes(value):
+            raise Invalid(SAYS[fault].format(**bounds))
+    return value
+
+
+def _given(value, required: bool) -> bool:
+    given = value is not None and value != ""
+    _held(given, [("missing", lambda g: g or not required)])
+    return given
+
+
+def _on_calendar(value: str) -> bool:
+    try:
+        return bool(datetime.date.fromisoformat(value))
+    except ValueError:
+        return False
 
 
 def text(value: str | None, *, longest: int = 500, required: bool = False, pattern: str | None = None) -> str | None:
-    if _absent(value, required):
+    if not _given(value, required):
         return None
-    if not isinstance(value, str):
-        raise Invalid(f"Expected string, got {type(value).__name__}")
-    bare = value.strip(_BLANK)
-    if len(bare.encode("utf-16-le")) // 2 > longest:
-        raise Invalid(f"Value exceeds maximum length of {longest}")
-    if pattern and not re.search(pattern, bare):
-        raise Invalid("Value does not match required pattern")
-    return bare
+    bare = _held(value, [("type", lambda v: isinstance(v, str))]).strip(_BLANK)
+    return _held(bare, [("long", lambda v: len(v.encode("utf-16-le")) // 2 <= longest), ("pattern", lambda v: not pattern or re.search(pattern, v))], most=longest)
 
 
 def integer(value, *, least: int = 0, most: int = 10_000, default: int | None = None, required: bool = False) -> int | None:
     """The integer that the value begins with: ``12abc`` is 12."""
-    if _absent(value, required):
+    if not _given(value, required):
         return default
-    found = re.match(r"[+-]?\d+", str(value).lstrip(_BLANK), re.ASCII)
-    if not found:
-        raise Invalid("Invalid integer value")
-    number = int(found[0])
-    if not least <= number <= most:
-        raise Invalid(f"Value must be between {least} and {most}")
-    return number
+    found = _held(re.match(r"[+-]?\d+", str(value).lstrip(_BLANK), re.ASCII), [("number", bool)])
+    return _held(int(found[0]), [("range", lambda n: least <= n <= most)], least=least, most=most)
 
 
 def date(value: str | None, *, required: bool = False) -> str | None:
-    if _absent(value, required, "date parameter"):
+    if not _given(value, required):
         return None
-    if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", value, re.ASCII):
-        raise Invalid("Invalid date format. Use YYYY-MM-DD")
-    try:
-        datetime.date.fromisoformat(value)
-    except ValueError:
-        raise Invalid("Invalid date value") from None
-    return value
+    return _held(value, [("form", lambda v: re.fullmatch(r"\d{4}-\d{2}-\d{2}", v, re.ASCII)), ("calendar", _on_calendar)])
 
 
 def house(value: str | None, default: str = HOUSES[0]) -> str:
-    if not value:
-        return default
-    named = value[0].upper() + value[1:].lower()
-    if named not in HOUSES:
-        raise Invalid("House must be 'Commons' or 'Lords'")
-    return named
+    return _held(value[0].upper() + value[1:].lower(), [("house", HOUSES.__contains__)]) if value else default
 
 
 def member_id(value) -> int:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 EXPORT_HEADER = ["Name", "Party", "Constituency", "Mention Count"]
@@ -51,6 +51,11 @@ def export_name(topic: str | None) -> str:
     return f"{topic or 'topic'}-analysis.csv"
 
 
+def export_names(topic: Column) -> Column:
+    """SNK-2 for rows."""
+    return F.concat(F.coalesce(F.nullif(topic, F.lit("")), F.lit("topic")), F.lit("-analysis.csv"))
+
+
 def bodies(df: DataFrame) -> DataFrame:
     """Rows as JSON text (SNK-5)."""
     return df.select(F.to_json(F.struct("*")).alias("body"))
@@ -59,8 +64,8 @@ def bodies(df: DataFrame) -> DataFrame:
 class Snapshots:
     """A small keyed table kept as JSON, replaced whole on every change (SNK-3, SNK-4, SRC-13, SRC-14).
 
-    Spark can't overwrite what it is reading: each version goes to a folder of its own, and a pointer file,
-    renamed into place, names the current one.  The version before stays until the next change.
+    Spark can't overwrite what it is reading: each version goes to a folder of its own, named by a rising number,
+    and the last one that was written whole is the current one.  The version before stays until the next change.
     """
 
     def __init__(self, spark: SparkSession, root: str, ddl: str):

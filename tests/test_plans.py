@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rostrum.plans import cache, endpoints, queries, validate as v
+from rostrum.plans import cache, endpoints, more_queries, queries, validate as v  # noqa: F401
 from rostrum.sources.documents import read_table
 
 
@@ -71,6 +71,39 @@ def test_cache_lifetimes(spark):
     assert cache.topic_key("1", ["a"]) != cache.topic_key("1", ["b"])
 
 
+def test_failures_are_tried_again(spark):
+    slept, tries = [], []
+
+    def make():
+        tries.append(1)
+        if len(tries) < 3:
+            raise OSError("not yet")
+        return spark.range(2)
+
+    c = cache.ResultCache(lambda: 0.0, slept.append)
+    assert c.get("topics", cache.result_key("debate", 3), make).count() == 2 and slept == [1, 2]
+    with pytest.raises(OSError):
+        cache.retried(lambda: (_ for _ in ()).throw(OSError()), slept.append)
+    assert slept == [1, 2, 1, 2, 4]
+
+
+def test_columns_are_checked_as_parameters_are(spark):
+    from rostrum.plans import checks
+
+    raws = [None, "", "12abc", " 42", "-7", "x1", "3.9", "99999999999", "2024-02-29", "2023-02-29", "15-01-2024", "lORDS", "commonsx", "  a  "]
+    kinds = {"integer": lambda x: v.integer(x, least=1, most=50, default=20), "date": v.date, "house": v.house, "text": lambda x: v.text(x, longest=3, required=True), "member_id": v.member_id, "flag": v.flag}
+    columns = {"integer": checks.integer(F.col("r"), least=1, most=50, default=20), "date": checks.date(F.col("r")), "house": checks.house(F.col("r")), "text": checks.text(F.col("r"), longest=3, required=True), "member_id": checks.member_id(F.col("r"))}
+    rows = spark.createDataFrame([(r,) for r in raws], "r string").select("r", *[c.alias(k) for k, c in columns.items()], checks.flag(F.col("r")).alias("flag")).collect()
+    for r in rows:
+        for kind in columns:
+            try:
+                want = (kinds[kind](r["r"]), None)
+            except v.Invalid as e:
+                want = (None, str(e))
+            assert (r[kind]["value"], r[kind]["error"]) == want, (kind, r["r"])
+        assert r["flag"] == v.flag(r["r"])
+
+
 def test_filters_reach_the_scan(spark, tiny):
     plan = queries.member_contributions(spark, tiny)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o_custkey,7)" in plan and "o_totalprice" not in plan.split("ReadSchema")[1]
