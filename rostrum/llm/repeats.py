@@ -4,17 +4,20 @@
 Naming rounds, over all documents: a maximal run of one symbol gets the name of (symbol, length); then of
 two neighbouring runs, the first of a "left" symbol and the second of a "right" one, the pair gets the
 name of both.  Names are 64-bit hashes of what they stand for, so they are the same everywhere without
-a shared dictionary.  Two such levels are named.  Whether a symbol forms depends on the symbols beside
-it, and those on the words beside them: its context.  Equal substrings therefore have equal interior
-symbols.  Of the second-level symbols whose context lies within a window, the one with the least hash is
-the window's anchor; a window too repetitive to have one is its own.  Neighbouring windows with one
-anchor make a unit, so that texts meet in Spark once for each unit, not once for each word, by the
-anchor's name:
-
-1. equal units of an anchor: all but those of the smallest id are repeats, whole;
-2. an anchor with different units (where copies begin, end or differ): the units' first documents
-   are compared window by window, by 128 bits of hash.
-
+a shared dictionary.  Each round shortens the strings by about a quarter; after ``LEVELS`` rounds a symbol
+stands for a hundred words or so, and equal passages have equal symbols but for those at their ends.
+Texts meet in Spark twice, by the names of two levels:
+
+1. by the symbols of the highest level: where documents share one, and a second hash of its words agrees,
+   all windows inside are repeats, except in the document of the smallest id.  Long repeats end here;
+2. by second-level symbols, for all windows that are left.  Whether a symbol forms depends on the symbols
+   beside it, and those on the words beside them: its context.  Of the second-level symbols whose context
+   lies within a window, the one with the least hash is the window's anchor; a window too repetitive to have
+   one is its own.  Neighbouring windows with one anchor make a unit.  Equal units of an anchor: all but those
+   of the smallest id are repeats, whole; an anchor with different units (where copies begin, end or differ):
+   the units' first documents are compared window by window, by 128 bits of hash.
+
+A task takes the symbols and units that it deals with in ``SUB`` lots, one at a time, as they come sorted.
 A very frequent passage reaches a reducer once for each chunk of input, not once for each document.
 Texts are shuffled once, and only those in question are kept.
 
@@ -39,6 +42,10 @@ from .tokens import hash_words, joined, mix
 WINDOW = 13
 #: Words that one step of a task holds.
 CHUNK = 600_000
+#: Naming rounds; the symbols of the last one find long repeats.
+LEVELS = 16
+#: Lots of a partition that a task holds one at a time.
+SUB = 16
 #: Units that a task gathers before it deals them out.
 DEALT = 400_000
 LAST = (1 << 63) - 1
@@ -81,9 +88,28 @@ def named(name: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return up[~second], first[~second], last[~second]
 
 
-def anchors(h: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def risen(name: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names, first and last words of the symbols after ``rounds`` more rounds."""
+    for _ in range(rounds):
+        name, first, last = named(name, doc[start])
+        start, end = start[first], end[last]
+    return name, start, end
+
+
+def _spanned(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums and powers by which ``_content`` names any run of words."""
+    power = np.cumprod(np.full(len(h), _BASE, np.uint64))
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power, dtype=np.uint64)]), np.cumprod(np.full(len(h), _BACK, np.uint64))
+
+
+def _content(total: np.ndarray, back: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return mix((total[last + 1] - total[first]) * back[first])
+
+
+def anchors(h: np.ndarray, doc: np.ndarray, window: int, low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each word position: is it the start of a window, the name of the window's anchor, and the position
-    at which the anchor's context begins (-1 where the window is its own anchor)."""
+    at which the anchor's context begins (-1 where the window is its own anchor).  ``low``, ``start`` and ``end`` are
+    the names, first and last words of the first level's symbols."""
     n = len(h)
     is_window = np.zeros(n, bool)
     if n >= window:
@@ -92,7 +118,6 @@ def anchors(h: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np
     if not is_window.any():
         return is_window, anchor, place
     with np.errstate(over="ignore"):
-        low, start, end = named(h, doc)
         high, first, last = named(low, doc[start])
         # a symbol of the second level depends on the symbols beside it, and those on the words beside them
         inner = np.flatnonzero((first > 0) & (last < len(low) - 1))
@@ -102,10 +127,7 @@ def anchors(h: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np
         fits = (doc[before] == doc[start[first[inner]]]) & (doc[after] == doc[before])
         inner, before, after = inner[fits], before[fits], after[fits]
         # the name stands for the symbol and all of its context
-        power = np.cumprod(np.full(n, _BASE, np.uint64))
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power, dtype=np.uint64)])
-        back = np.cumprod(np.full(n, _BACK, np.uint64))
-        name = joined(high[inner], mix((total[after + 1] - total[before]) * back[before]))
+        name = joined(high[inner], _content(*_spanned(h), before, after))
         order = mix(name ^ np.uint64(0x1F123BB5159A55E5))
     begins, ends = np.zeros(n + 1, np.int32), np.zeros(n, np.int32)
     begins[before + 1], ends[after] = 1, 1
@@ -123,12 +145,36 @@ def anchors(h: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np
     return is_window, anchor, place
 
 
+class _Dealer:
+    """Columns of units that wait to be dealt out, a row for each bucket."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.units, self.waiting = buckets, [], 0
+
+    def add(self, columns: list[np.ndarray]) -> None:
+        self.units.append(columns)
+        self.waiting += len(columns[0])
+
+    def dealt(self) -> list[tuple]:
+        if not self.waiting:
+            return []
+        columns = [np.concatenate(c) for c in zip(*self.units, strict=True)]
+        self.units, self.waiting = [], 0
+        bucket = (columns[0] % np.uint64(self.buckets)).astype(np.int64)
+        order = np.lexsort((columns[2], bucket))
+        bucket = bucket[order]
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        return [_row(int(bucket[a]), _UNITS, _packed(_KINDS, [c[order[a:b]] for c in columns])) for a, b in zip(cuts, np.r_[cuts[1:], len(bucket)], strict=True)]
+
+
 class _Chunk:
-    """Documents of one task until they have ``CHUNK`` words, and the units that wait to be dealt out."""
+    """Documents of one task until they have ``CHUNK`` words, and what waits to be dealt out: the highest symbols with
+    the units inside them, and the units that cross their borders."""
 
     def __init__(self, window: int, buckets: int):
         self.window, self.buckets = window, buckets
-        self.units, self.waiting = [], 0
+        self.direct = _Dealer(buckets)
+        self.symbols, self.inside, self.waiting = [], [], 0
         self.clear()
 
     def clear(self) -> None:
@@ -141,57 +187,92 @@ class _Chunk:
         self.size += len(words)
 
     def rows(self) -> list[tuple]:
-        """(bucket, kind, id, version, n_words, sha, payload)."""
+        """The documents' own rows, with the repeats that the chunk itself shows."""
         sizes = np.array([d[2] for d in self.docs], np.int64)
         h = np.concatenate(self.hashes) if self.docs else np.empty(0, np.uint64)
+        spans: dict[int, list] = {}
+        if len(h) >= self.window:
+            self._found(h, sizes, spans)
+        return [_row(doc_id % self.buckets, _DOCUMENT, np.array(_merged(spans.get(k, [])), np.int32).tobytes(), doc_id, version, n, sha) for k, (doc_id, version, n, sha) in enumerate(self.docs)]
+
+    def _found(self, h: np.ndarray, sizes: np.ndarray, spans: dict[int, list]) -> None:
+        window = self.window
         which = np.repeat(np.arange(len(sizes)), sizes)
         first_word = np.cumsum(sizes) - sizes
-        spans: dict[int, list] = {}
-        out = []
-        if len(h):
-            is_window, anchor, place = anchors(h, which, self.window)
-            hashed = np.zeros(len(h), np.uint64)
-            own = window_hashes(h, self.window)
-            hashed[: len(own)] = own
-            alone = is_window & (place < 0)
-            anchor[alone] = hashed[alone]
-            place[alone] = -1 - np.flatnonzero(alone)
-            # units: neighbouring windows of one document with one anchor
-            at = np.flatnonzero(is_window)
-            head = np.ones(len(at), bool)
-            head[1:] = (at[1:] != at[:-1] + 1) | (place[at[1:]] != place[at[:-1]]) | (which[at[1:]] != which[at[:-1]])
-            heads = np.flatnonzero(head)
-            count = np.diff(np.r_[heads, len(at)])
-            with np.errstate(over="ignore"):
-                step = (np.arange(len(at)) - np.repeat(heads, count)).astype(np.uint64)
-                unit = np.add.reduceat(mix(hashed[at] + step * _BASE), heads) if len(at) else np.empty(0, np.uint64)
-            begin = at[heads]
-            owner = which[begin]
-            name = anchor[begin]
-            doc = np.array([d[0] for d in self.docs], np.int64)[owner]
-            version = np.array([d[1] for d in self.docs], np.int64)[owner]
-            begin = begin - first_word[owner]
-            least = _least(name, unit, doc)
-            for o, b, c in zip(owner[doc > least].tolist(), begin[doc > least].tolist(), count[doc > least].tolist(), strict=True):
-                spans.setdefault(o, []).append((b, b + c + self.window - 1))
-            keep = np.flatnonzero(doc == least)
-            self.units.append([c[keep] for c in (name, unit, doc, (version << 40) | begin, count)])
-            self.waiting += len(keep)
-        for k, (doc_id, version, n, sha) in enumerate(self.docs):
-            out.append((doc_id % self.buckets, 0, doc_id, version, n, sha, np.array(_merged(spans.get(k, [])), np.int32).tobytes()))
-        return out
+        ids, versions = (np.array([d[k] for d in self.docs], np.int64) for k in (0, 1))
+        with np.errstate(over="ignore"):
+            low, start, end = named(h, which)
+            is_window, anchor, place = anchors(h, which, window, low, start, end)
+            name, first, last = risen(low, which, start, end, LEVELS - 1)
+            content = _content(*_spanned(h), first, last)
+        hashed = np.zeros(len(h), np.uint64)
+        own = window_hashes(h, window)
+        hashed[: len(own)] = own
+        alone = is_window & (place < 0)
+        anchor[alone] = hashed[alone]
+        place[alone] = -1 - np.flatnonzero(alone)
+        # the highest symbols: long repeats within the chunk
+        owner = which[first]
+        long = last - first >= window - 1
+        gone = long.copy()
+        gone[long] = ids[owner[long]] > _least(name[long], content[long], ids[owner[long]])
+        for o, a, b in zip(owner[gone].tolist(), (first - first_word[owner])[gone].tolist(), (last + 1 - first_word[owner])[gone].tolist(), strict=True):
+            spans.setdefault(o, []).append((a, b))
+        # units: neighbouring windows of one document with one anchor
+        at = np.flatnonzero(is_window)
+        if not len(at):
+            return
+        head = np.ones(len(at), bool)
+        head[1:] = (at[1:] != at[:-1] + 1) | (place[at[1:]] != place[at[:-1]]) | (which[at[1:]] != which[at[:-1]])
+        heads = np.flatnonzero(head)
+        count = np.diff(np.r_[heads, len(at)])
+        with np.errstate(over="ignore"):
+            step = (np.arange(len(at)) - np.repeat(heads, count)).astype(np.uint64)
+            unit = np.add.reduceat(mix(hashed[at] + step * _BASE), heads)
+        begin = at[heads]
+        symbol = np.repeat(np.arange(len(first)), last - first + 1)
+        inside = symbol[begin] == symbol[begin + count + window - 2]
+        alive = np.flatnonzero(~(inside & gone[symbol[begin]]))
+        unit, begin, count, inside = unit[alive], begin[alive], count[alive], inside[alive]
+        name_of, doc, o = anchor[begin], ids[which[begin]], which[begin]
+        least = _least(name_of, unit, doc)
+        again = doc > least
+        for k, b, c in zip(o[again].tolist(), (begin - first_word[o])[again].tolist(), count[again].tolist(), strict=True):
+            spans.setdefault(k, []).append((b, b + c + window - 1))
+        put = ~again & ~inside
+        where = (versions[o] << 40) | (begin - first_word[o])
+        self.direct.add([c[put] for c in (name_of, unit, doc, where, count)])
+        # a symbol is dealt if any of its units is
+        put = np.flatnonzero(~again & inside)
+        parents = symbol[begin[put]]
+        kept = np.zeros(len(first), bool)
+        kept[parents] = True
+        number = np.cumsum(kept) - 1 + sum(len(x[0]) for x in self.symbols)
+        self.inside.append([name_of[put], unit[put], begin[put] - first[parents], count[put], number[parents]])
+        k = np.flatnonzero(kept)
+        self.symbols.append([name[k], content[k], ids[owner[k]], (versions[owner[k]] << 40) | (first[k] - first_word[owner[k]]), last[k] - first[k] + 1])
+        self.waiting += len(put)
 
     def dealt(self) -> list[tuple]:
-        """The units that have gathered, a row for each bucket."""
-        if not self.units:
-            return []
-        columns = [np.concatenate(c) for c in zip(*self.units, strict=True)]
-        self.units, self.waiting = [], 0
-        bucket = (columns[0] % np.uint64(self.buckets)).astype(np.int64)
-        order = np.lexsort((columns[2], bucket))
-        bucket = bucket[order]
-        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        return [(int(bucket[a]), 1, None, None, None, None, _packed(*[c[order[a:b]] for c in columns])) for a, b in zip(cuts, np.r_[cuts[1:], len(bucket)], strict=True) if b > a]
+        """What has gathered, a row for each bucket."""
+        out = self.direct.dealt()
+        if not self.symbols:
+            return out
+        symbols, units = ([np.concatenate(c) for c in zip(*x, strict=True)] for x in (self.symbols, self.inside))
+        self.symbols, self.inside, self.waiting = [], [], 0
+        bucket = (symbols[0] % np.uint64(self.buckets)).astype(np.int64)
+        order = np.lexsort((symbols[2], bucket))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        units[4] = rank[units[4]]
+        by = np.argsort(units[4], kind="stable")
+        symbols, units, bucket = [c[order] for c in symbols], [c[by] for c in units], bucket[order]
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, np.int64)
+        for a, b in zip(cuts.tolist(), np.r_[cuts[1:], len(bucket)].tolist(), strict=True):
+            x, y = np.searchsorted(units[4], [a, b])
+            inner = [*[c[x:y] for c in units[:4]], units[4][x:y] - a]
+            out.append(_row(int(bucket[a]), _SYMBOLS, _packed(_KINDS, [c[a:b] for c in symbols]) + _packed(_INNER, inner)))
+        return out
 
 
 def _merged(spans: list) -> list:
@@ -215,25 +296,35 @@ def _least(name: np.ndarray, unit: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Columns of a unit (anchor, unit, id, version and start, windows) or symbol (name, words' hash, id, version and start,
+#: words), and of a unit inside a symbol (anchor, unit, start there, windows, number of the symbol).
 _KINDS = (np.uint64, np.uint64, np.int64, np.int64, np.int32)
+_INNER = (np.uint64, np.uint64, np.int32, np.int32, np.int32)
 
 
-def _packed(*columns: np.ndarray) -> bytes:
-    return np.int64(len(columns[0])).tobytes() + b"".join(c.astype(k).tobytes() for c, k in zip(columns, _KINDS, strict=True))
+def _packed(kinds: tuple, columns: list[np.ndarray]) -> bytes:
+    return np.int64(len(columns[0])).tobytes() + b"".join(c.astype(k).tobytes() for c, k in zip(columns, kinds, strict=True))
 
 
-def _unpacked(data: bytes) -> list[np.ndarray]:
-    n, at, out = int(np.frombuffer(data, np.int64, 1)[0]), 8, []
-    for k in _KINDS:
+def _unpacked(kinds: tuple, data: bytes, at: int = 0) -> tuple[list[np.ndarray], int]:
+    """The columns, and where they end."""
+    n, at, out = int(np.frombuffer(data, np.int64, 1, at)[0]), at + 8, []
+    for k in kinds:
         out.append(np.frombuffer(data, k, n, at))
         at += n * np.dtype(k).itemsize
-    return out
+    return out, at
 
 
-_FIRST = "bucket long, kind int, id long, version long, n_words long, sha string, payload binary"
+#: Kinds of rows: a document, symbols with their units, units, a repeat (start, count).
+_DOCUMENT, _SYMBOLS, _UNITS, _REPEAT = range(4)
+_FIRST = "bucket long, kind int, id long, version long, n_words long, sha string, payload binary, start int, count int"
 _SECOND = "id long, version long, n_words long, sha string, spans binary, start int, count int, anchor long"
 
 
+def _row(bucket: int, kind: int, payload: bytes | None, doc: int | None = None, version: int | None = None, n: int | None = None, sha: str | None = None, start: int | None = None, count: int | None = None) -> tuple:
+    return bucket, kind, doc, version, n, sha, payload, start, count
+
+
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
     fields = [f.split() for f in schema.split(", ")]
@@ -248,39 +339,86 @@ def _scan(window: int, buckets: int):
             for doc, version, text in zip(b.column("id").to_pylist(), b.column("version").to_pylist(), b.column("text"), strict=True):
                 chunk.add(doc, version, text.as_py())
                 if chunk.size >= CHUNK:
-                    yield _batch(chunk.rows() + (chunk.dealt() if chunk.waiting >= DEALT else []), _FIRST)
+                    yield _batch(chunk.rows() + (chunk.dealt() if chunk.waiting + chunk.direct.waiting >= DEALT else []), _FIRST)
                     chunk.clear()
         yield _batch(chunk.rows() + chunk.dealt(), _FIRST)
 
     return run
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors of one partition: repeats (anchor null), units in question, and the documents' own rows."""
-    held = []
+def _lots(batches: Iterator[pa.RecordBatch], kind: int) -> Iterator[tuple[list[bytes], list[dict]]]:
+    """The payloads of ``kind`` of one bucket after another, and the other rows as they come."""
+    now, held = None, []
     for b in batches:
-        kind = np.array(b.column("kind"))
-        held += [_unpacked(x) for x in b.column("payload").filter(pa.array(kind == 1)).to_pylist()]
-        rows = b.filter(pa.array(kind == 0)).to_pylist()
-        yield _batch([(r["id"], r["version"], r["n_words"], r["sha"], r["payload"], None, None, None) for r in rows], _SECOND)
-    if not held:
-        return
-    name, unit, doc, start, count = (np.concatenate(c) for c in zip(*held, strict=True))
-    del held
-    least = _least(name, unit, doc)
-    gone = doc > least
-    order = np.lexsort((unit, name))
-    n, u = name[order], unit[order]
-    other = np.zeros(len(order), np.int64)
-    other[1:] = (n[1:] == n[:-1]) & (u[1:] != u[:-1])
-    _, group = np.unique(n, return_inverse=True)
-    several = np.zeros(len(order), bool)
-    several[order] = np.bincount(group, other)[group] > 0
-    for pick, with_name in ((np.flatnonzero(gone), False), (np.flatnonzero(~gone & several), True)):
-        for k in range(0, len(pick), 50_000):
-            p = pick[k : k + 50_000]
-            null = lambda t: pa.nulls(len(p), t)  # noqa: E731, B023
-            yield pa.RecordBatch.from_arrays([pa.array(doc[p]), pa.array(start[p] >> 40), null(pa.int64()), null(pa.string()), null(pa.binary()), pa.array((start[p] & ((1 << 40) - 1)).astype(np.int32)), pa.array(count[p]), pa.array(name[p].view(np.int64)) if with_name else null(pa.int64())], [f.split()[0] for f in _SECOND.split(", ")])
+        other = []
+        for r in b.to_pylist():
+            if r["kind"] != kind:
+                other.append(r)
+                continue
+            if r["bucket"] != now and held:
+                yield held, []
+                held = []
+            now = r["bucket"]
+            held.append(r["payload"])
+        yield [], other
+    if held:
+        yield held, []
+
+
+def _rise(window: int, buckets: int):
+    """Symbols of the highest level, bucket by bucket: repeats, and the units of each symbol's first document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = _Dealer(buckets)
+        for held, other in _lots(batches, _SYMBOLS):
+            out = []
+            for r in other:
+                if r["kind"] == _UNITS:
+                    units.add(_unpacked(_KINDS, r["payload"])[0])
+                else:
+                    out.append(tuple(r.values()))
+            symbols, inner, n = [], [], 0
+            for data in held:
+                s, end = _unpacked(_KINDS, data)
+                u, _ = _unpacked(_INNER, data, end)
+                symbols.append(s)
+                inner.append([*u[:4], u[4] + n])
+                n += len(s[0])
+            if n:
+                name, content, doc, place, size = (np.concatenate(c) for c in zip(*symbols, strict=True))
+                gone = doc > _least(name, content, doc)
+                out += [_row(d % buckets, _REPEAT, None, d, p >> 40, start=p & ((1 << 40) - 1), count=k - window + 1) for d, p, k in zip(doc[gone].tolist(), place[gone].tolist(), size[gone].tolist(), strict=True)]
+                anchor, unit, start, count, parent = (np.concatenate(c) for c in zip(*inner, strict=True))
+                stay = ~gone[parent]
+                anchor, unit, start, count, parent = (c[stay] for c in (anchor, unit, start, count, parent))
+                units.add([anchor, unit, doc[parent], place[parent] + start, count])
+            yield _batch(out + (units.dealt() if units.waiting >= DEALT else []), _FIRST)
+        yield _batch(units.dealt(), _FIRST)
+
+    return run
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors of one partition, bucket by bucket: repeats (anchor null), units in question, and the documents' own rows."""
+    names = [f.split()[0] for f in _SECOND.split(", ")]
+    for held, other in _lots(batches, _UNITS):
+        yield _batch([(r["id"], r["version"], r["n_words"], r["sha"], r["payload"], r["start"], r["count"], None) for r in other], _SECOND)
+        if not held:
+            continue
+        name, unit, doc, start, count = (np.concatenate(c) for c in zip(*[_unpacked(_KINDS, x)[0] for x in held], strict=True))
+        gone = doc > _least(name, unit, doc)
+        order = np.lexsort((unit, name))
+        n, u = name[order], unit[order]
+        other_unit = np.zeros(len(order), np.int64)
+        other_unit[1:] = (n[1:] == n[:-1]) & (u[1:] != u[:-1])
+        _, group = np.unique(n, return_inverse=True)
+        several = np.zeros(len(order), bool)
+        several[order] = np.bincount(group, other_unit)[group] > 0
+        for pick, with_name in ((np.flatnonzero(gone), False), (np.flatnonzero(~gone & several), True)):
+            for k in range(0, len(pick), 50_000):
+                p = pick[k : k + 50_000]
+                null = lambda t: pa.nulls(len(p), t)  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays([pa.array(doc[p]), pa.array(start[p] >> 40), null(pa.int64()), null(pa.string()), null(pa.binary()), pa.array((start[p] & ((1 << 40) - 1)).astype(np.int32)), pa.array(count[p]), pa.array(name[p].view(np.int64)) if with_name else null(pa.int64())], names)
 
 
 _STATE = "id long, version long, n_words long, n_removed long, kept_sha256 string, spans binary, units binary"
@@ -367,8 +505,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     else:
         texts = rows.select("id", F.lit(0).cast("long").alias("version"), "text")
     n = partitions(spark)
-    met = texts.mapInArrow(_scan(window, n), _FIRST).repartition(n, "bucket").mapInArrow(_meet, _SECOND)
-    met = materialize(met, "met")
+    lots = n * SUB
+    by_bucket = lambda df: df.repartition(n, "bucket").sortWithinPartitions("bucket")
+    risen_units = by_bucket(texts.mapInArrow(_scan(window, lots), _FIRST)).mapInArrow(_rise(window, lots), _FIRST)
+    met = materialize(by_bucket(risen_units).mapInArrow(_meet, _SECOND), "met")
     units = F.collect_list(F.when(F.col("start").isNotNull(), F.struct("start", "count", "anchor")))
     by_doc = met.groupBy("id", "version").agg(F.max("n_words").alias("n_words"), F.max("sha").alias("sha"), F.max("spans").alias("spans"), units.alias("units"))
     state = materialize(by_doc.mapInArrow(_settle(window), _STATE), "state")

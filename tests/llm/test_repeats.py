@@ -64,7 +64,7 @@ def test_anchors_depend_on_the_window_alone():
     rng = np.random.default_rng(0)
     vocabulary = rng.integers(0, 2**63, 6).astype(np.uint64)
     text = vocabulary[rng.choice(6, 4000, p=[0.5, 0.2, 0.1, 0.1, 0.05, 0.05])]
-    is_window, anchor, place = repeats.anchors(text, np.zeros(len(text), int), 13)
+    is_window, anchor, place = repeats.anchors(text, np.zeros(len(text), int), 13, *repeats.named(text, np.zeros(len(text), int)))
     for a in rng.choice(np.flatnonzero(is_window), 300):
         alone = repeats.anchors(text[a : a + 13].copy(), np.zeros(13, int), 13)
         assert alone[1][0] == anchor[a] and alone[2][0] == (place[a] - a if place[a] >= 0 else -1)
@@ -74,3 +74,36 @@ def test_kept_words_are_given(spark):
     a = " ".join(f"w{i}" for i in range(20))
     got = {r["doc_id"]: r["kept"] for r in repeats.remove_repeats(corpus.frame(spark, [(1, a), (2, "before " + a + " after")]), with_text=True).collect()}
     assert got[2] == "before after"
+
+
+def test_long_repeats_share_their_highest_symbols():
+    rng = np.random.default_rng(1)
+    words = lambda n: rng.integers(0, 2**63, n).astype(np.uint64)
+    passage = words(3000)
+    texts = [np.concatenate([words(50), passage, words(70)]), np.concatenate([words(400), passage, words(9)])]
+    found = []
+    for t in texts:
+        doc = np.zeros(len(t), int)
+        name, first, last = repeats.risen(*(lambda low, start, end: (low, doc, start, end))(*repeats.named(t, doc)), repeats.LEVELS - 1)
+        assert first[0] == 0 and last[-1] == len(t) - 1 and (first[1:] == last[:-1] + 1).all() and len(name) < len(t) / 30
+        found.append({int(x): int(b - a + 1) for x, a, b in zip(name, first, last)})
+    shared = sum(n for x, n in found[0].items() if found[1].get(x) == n)
+    assert 2000 < shared <= 3000
+
+
+def test_a_task_holds_one_lot_at_a_time(spark, monkeypatch):
+    """Ten times the lots hold a tenth of the units each, with the same result."""
+    pairs = corpus.rows(60)
+    seen = []
+    lots = repeats._lots
+    monkeypatch.setattr(repeats, "SUB", 1)
+    few = run(spark, pairs)
+    monkeypatch.setattr(repeats, "SUB", 10)
+    assert run(spark, pairs) == few == brute(pairs)
+    import pyarrow as pa
+
+    rows = [repeats._row(k // 3, repeats._UNITS, b"%d" % k) for k in range(9)] + [repeats._row(9, repeats._DOCUMENT, None, 1, 0, 2, "x")]
+    for held, other in lots([repeats._batch(rows[:4], repeats._FIRST), repeats._batch(rows[4:], repeats._FIRST)], repeats._UNITS):
+        seen.append(([int(x) for x in held], len(other)))
+    assert [h for h, _ in seen if h] == [[0, 1, 2], [3, 4, 5], [6, 7, 8]] and sum(n for _, n in seen) == 1
+    assert isinstance(repeats._batch(rows, repeats._FIRST), pa.RecordBatch)
