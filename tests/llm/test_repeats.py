@@ -66,7 +66,8 @@ def test_anchors_depend_on_the_window_alone():
     text = vocabulary[rng.choice(6, 4000, p=[0.5, 0.2, 0.1, 0.1, 0.05, 0.05])]
     is_window, anchor, place = repeats.anchors(text, np.zeros(len(text), int), 13, *repeats.named(text, np.zeros(len(text), int)))
     for a in rng.choice(np.flatnonzero(is_window), 300):
-        alone = repeats.anchors(text[a : a + 13].copy(), np.zeros(13, int), 13)
+        part = text[a : a + 13].copy()
+        alone = repeats.anchors(part, np.zeros(13, int), 13, *repeats.named(part, np.zeros(13, int)))
         assert alone[1][0] == anchor[a] and alone[2][0] == (place[a] - a if place[a] >= 0 else -1)
 
 
