@@ -53,7 +53,7 @@ BLOCK_WORDS = 400_000
 #: Sets of a large group that share a rare shingle, at most.
 RARE = 16
 #: Kinds of a block of a large group.
-KINDS = 1000
+KINDS = 400
 #: Steps of similarity in which links are counted.
 BINS = 1000
 

@@ -37,7 +37,7 @@ WINDOW = 2048
 #: Partitions whose leftovers follow each other into windows.
 MERGE = 8
 WIDTH = 4  # bytes of an id, little-endian
-_CACHED_WORDS = 800_000
+_CACHED_WORDS = 200_000
 #: Latin letters, then ASCII punctuation.
 _PARTS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u024f]+)([!-/:-@\[-`{-~]*)")
 

@@ -39,7 +39,7 @@ _bucket_of: dict[str, int] = {}
 
 
 def _buckets(words: list[str]) -> np.ndarray:
-    if len(_bucket_of) > 300_000:
+    if len(_bucket_of) > 100_000:
         _bucket_of.clear()
     get = _bucket_of.get
     out = []
