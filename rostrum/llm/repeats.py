@@ -106,10 +106,10 @@ def _content(total: np.ndarray, back: np.ndarray, first: np.ndarray, last: np.nd
     return mix((total[last + 1] - total[first]) * back[first])
 
 
-def anchors(h: np.ndarray, doc: np.ndarray, window: int, low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(h: np.ndarray, doc: np.ndarray, window: int, low: np.ndarray | None = None, start: np.ndarray | None = None, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each word position: is it the start of a window, the name of the window's anchor, and the position
     at which the anchor's context begins (-1 where the window is its own anchor).  ``low``, ``start`` and ``end`` are
-    the names, first and last words of the first level's symbols."""
+    the names, first and last words of the first level's symbols; they are made here if not given."""
     n = len(h)
     is_window = np.zeros(n, bool)
     if n >= window:
@@ -118,6 +118,8 @@ def anchors(h: np.ndarray, doc: np.ndarray, window: int, low: np.ndarray, start:
     if not is_window.any():
         return is_window, anchor, place
     with np.errstate(over="ignore"):
+        if low is None:
+            low, start, end = named(h, doc)
         high, first, last = named(low, doc[start])
         # a symbol of the second level depends on the symbols beside it, and those on the words beside them
         inner = np.flatnonzero((first > 0) & (last < len(low) - 1))
