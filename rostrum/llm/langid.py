@@ -4,8 +4,8 @@ Trained in numpy by backpropagation through time; every byte position gets a lab
 a document's distribution is the mean over its positions.  Whole texts are read: each is cut into
 windows of ``SPAN`` bytes, all of which run through both directions.
 
-Defined cases: a null text, or one with no letter, gets ``und`` with score 0; repeated rows get equal
-results; a row without a doc_id is predicted as any other (the query gives it a null ``held_out`` and does not learn
+Defined cases: a null text, or one with no letter, gets ``und`` with score 0; equal texts get equal
+results, wherever they stand in a batch; a row without a doc_id is predicted as any other (the query gives it a null ``held_out`` and does not learn
 from it); extra columns pass through; an empty table gives an empty result; without any training row
 every text gets ``und`` with score 0.
 """
@@ -34,6 +34,24 @@ def has_letter(text: str) -> bool:
     return bool(found) and (found[0].isalpha() or any(c.isalpha() for c in text))
 
 
+#: Where exact sums are wanted, states (of at most 1) are rounded to multiples of 2^-GRAIN.
+GRAIN = 20
+_MIDDLE = np.float32(3 << (22 - GRAIN))  # floats around it are multiples of 2^-GRAIN
+
+
+def grained(w: np.ndarray) -> np.ndarray:
+    """Weights in steps so wide that no sum of their products with rounded states needs more than the 53 bits of a float."""
+    w = w.astype(np.float64)
+    step = 2.0 ** (np.ceil(np.log2(np.abs(w).sum(0).max(initial=0) + 1)) + GRAIN - 52)
+    return np.rint(w / step) * step
+
+
+def exactly(states: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """``states @ weights`` for weights from ``grained``.  Sums are exact, so a row's result is the same whatever rows
+    stand beside it, and in whatever order the machine adds."""
+    return ((states + _MIDDLE) - _MIDDLE).astype(np.float64) @ weights
+
+
 @dataclass
 class Direction:
     """A gated recurrent layer: reset and update gates (hard sigmoids) and a candidate, with the byte embedding and
@@ -43,22 +61,23 @@ class Direction:
     gates: np.ndarray  # H x 2H
     inner: np.ndarray  # H x H
 
-    def run(self, x: np.ndarray, keep: bool = False):
+    def run(self, x: np.ndarray, keep: bool = False, exact: bool = False):
         """x: bytes, steps x batch.  Returns the states, steps x batch x H."""
         steps, n = x.shape
+        gates, inner, product = (grained(self.gates), grained(self.inner), exactly) if exact else (self.gates, self.inner, np.matmul)
         h = np.zeros((n, self.inner.shape[0]), self.table.dtype)
         size = h.shape[1]
         states = np.empty((steps, n, size), self.table.dtype)
         tape = []
         for t in range(steps):
             e = self.table[x[t]]
-            a = h @ self.gates
+            a = product(h, gates).astype(self.table.dtype, copy=False)
             a += e[:, : 2 * size]
             a *= 0.25
             a += 0.5
             np.clip(a, 0, 1, out=a)
             r, z = a[:, :size], a[:, size:]
-            c = (r * h) @ self.inner
+            c = product(r * h, inner).astype(self.table.dtype, copy=False)
             c += e[:, 2 * size :]
             np.tanh(c, out=c)
             if keep:
@@ -99,11 +118,12 @@ class ByteTagger:
     def positions(self, x: np.ndarray) -> np.ndarray:
         """Label probabilities of each byte: steps x batch x labels."""
         steps, n = x.shape
-        f = self.forward.run(x)
-        b = self.backward.run(x[::-1])[::-1]
+        f = self.forward.run(x, exact=True)
+        b = self.backward.run(x[::-1], exact=True)[::-1]
         size = f.shape[2]
-        p = f.reshape(-1, size) @ self.out[:size]
-        p += np.ascontiguousarray(b).reshape(-1, size) @ self.out[size:]
+        p = exactly(f.reshape(-1, size), grained(self.out[:size]))
+        p += exactly(np.ascontiguousarray(b).reshape(-1, size), grained(self.out[size:]))
+        p = p.astype(self.out.dtype)
         p += self.bias
         p -= p.max(1, keepdims=True)
         np.exp(p, out=p)

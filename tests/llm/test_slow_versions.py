@@ -139,3 +139,13 @@ def test_every_position_is_labelled_and_pooled():
         pooled = slow_pooled(model, text)
         assert model.labels[int(pooled.argmax())] == name
         assert score == pytest.approx(pooled.max(), abs=1e-4)
+
+
+def test_equal_windows_have_equal_results_wherever_they_stand():
+    rng = np.random.default_rng(5)
+    model = langid.fit([b"aaaa bbbb " * 8, b"cccc dddd " * 8] * 4, ["x", "y"] * 4, steps=60)
+    x = rng.choice(np.frombuffer(b"abcd ", np.uint8), (langid.SPAN, 700))
+    alone = model.positions(np.ascontiguousarray(x))
+    for n, shift in [(1, 0), (3, 0), (140, 0), (700, 1), (700, 37), (700, 333)]:
+        again = model.positions(np.ascontiguousarray(np.roll(x, shift, 1)[:, :n]))
+        assert (again == np.roll(alone, shift, 1)[:, :n]).all()
