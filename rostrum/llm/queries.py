@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, langid, mixing, near, packing, quality, repeats, secrets, sharding, topk
+from . import audit, fingerprints, langid, mixing, near, packing, quality, repeats, secrets, sharding, topk
 from .common import id_crc, table
 
 
@@ -74,6 +74,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_exact_top_k": op2_exact_top_k,
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
+    "op11_filter_audit": op11_filter_audit,
 }
 ORACLES: dict[str, str] = {
     "op2_exact_top_k": """
@@ -146,4 +151,44 @@ ORACLES: dict[str, str] = {
         select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
         from w left join kept using (doc_id)
     """,
+    "op11_filter_audit": r"""
+        with t as (
+            select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents
+        ), w as (
+            select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words, min(doc_id) over (partition by text) as low from t
+        ), mask as (
+            select w.doc_id, part,
+                   cast(len(words) < 50 as int) + 2 * cast(100 * len(list_distinct(words)) < 65 * len(words) as int)
+                   + 4 * cast(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) as int)
+                   + 8 * cast(regexp_matches(text, '[#$%&*|]') as int) + 16 * cast(coalesce(doc_id > low, false) as int) as mask
+            from w
+        ), l as (
+            select doc_id, max(cast(coalesce(quality = 1, false) as int)) as good, max(cast(coalesce(toxic = 1, false) as int)) as toxic from labels group by 1
+        ), n as (
+            select part, mask, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic from mask left join l using (doc_id) group by 1, 2
+        ), f(i, f) as (
+            values (0, 'A'), (1, 'B'), (2, 'C'), (3, 'D'), (4, 'E')
+        ), o as (
+            select a.f || b.f || c.f || d.f || e.f as filter_order
+            from f a join f b on b.i <> a.i join f c on c.i not in (a.i, b.i) join f d on d.i not in (a.i, b.i, c.i) join f e on e.i not in (a.i, b.i, c.i, d.i)
+        ), s as (
+            select filter_order, step, cast(pow(2, f.i) as int) as bit,
+                   coalesce(list_sum(list_transform(range(1, step), lambda k: cast(pow(2, strpos('ABCDE', filter_order[k]) - 1) as int))), 0) as before
+            from o, range(1, 6) r(step) join f on f.f = filter_order[step]
+        ), x as (
+            select part, filter_order, step, bit,
+                   sum(n) filter (where mask & bit = 0 and mask & cast(before as int) = 0) as kept,
+                   sum(n) filter (where mask & bit > 0 and mask & cast(before as int) = 0) as removed,
+                   sum(n) filter (where mask & bit > 0 and mask & cast(before as int) > 0) as redundant,
+                   sum(n) filter (where mask = bit) as unique_fails,
+                   sum(good) filter (where mask & bit > 0 and mask & cast(before as int) = 0) as good_lost,
+                   sum(toxic) filter (where mask & bit > 0 and mask & cast(before as int) = 0) as toxic_lost
+            from n, s group by all
+        )
+        select part, filter_order, cast(step as int) as step, cast(coalesce(kept, 0) as bigint) as kept, cast(coalesce(removed, 0) as bigint) as removed,
+               cast(coalesce(redundant, 0) as bigint) as redundant, cast(coalesce(unique_fails, 0) as bigint) as unique_fails,
+               cast(coalesce(good_lost, 0) as bigint) as good_lost, cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+               cast(coalesce(sum(removed) over (partition by part, bit), 0) as bigint) as shapley
+        from x
+    """,
 }
