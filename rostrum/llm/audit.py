@@ -3,9 +3,9 @@
 Five filters give a document a five-bit mask of the conditions it fails.  Whatever the order, a document is removed at
 the first step whose filter it fails, so a table of 32 masks by 120 orders (``FIRST``) holds every audit there is.
 Spark works out the masks and counts documents by (part, mask, label): at most 128 rows a part, after a partial
-aggregate in every task, so that a part with most of all documents is no task's burden.  ``mapInArrow`` looks those
-rows up in the table and adds their counts by part, order, step and label with ``np.bincount``; it holds ``PARTS``
-parts at once.  The partial arrays are summed by one more aggregate.
+aggregate in every task, so that a part with most of all documents is no task's burden.  Those rows are dealt by part;
+``mapInArrow`` looks them up in the table and adds their counts by part, order, step and label with ``np.bincount``,
+holding ``PARTS`` parts at once.  The partial arrays are summed by one more aggregate.
 
 All other figures follow from removals: what fails a filter is what it removes when it comes first, what fails it only
 is what it removes when it comes last, and its Shapley sum is what it removes over all orders.
@@ -111,7 +111,7 @@ def removals(rows: DataFrame) -> DataFrame:
     """part, order, step (from 0; 5 holds what is kept), removed, good, toxic: of rows (part, mask, label)."""
     ship(rows.sparkSession)
     counts = rows.groupBy("part", "mask", "label").agg(F.count(F.lit(1)).alias("n"))
-    partial = counts.mapInArrow(accumulate, "part string, order int, step int, removed long, good long, toxic long")
+    partial = counts.repartition("part").mapInArrow(accumulate, "part string, order int, step int, removed long, good long, toxic long")
     return partial.groupBy("part", "order", "step").agg(*[F.sum(c).alias(c) for c in ("removed", "good", "toxic")])
 
 
