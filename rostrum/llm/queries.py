@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import audit, fingerprints, langid, mixing, near, packing, quality, repeats, secrets, sharding, topk
+from . import audit, fingerprints, langid, leaks, mixing, near, packing, quality, repeats, secrets, sharding, topk
 from .common import id_crc, table
 
 
@@ -78,6 +78,19 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.col("items").cast("array<string>"))
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        leaks.n_hit(F.col("spans")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_exact_top_k": op2_exact_top_k,
@@ -90,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
     "op11_filter_audit": op11_filter_audit,
+    "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {
     "op2_exact_top_k": """
@@ -191,4 +205,29 @@ ORACLES: dict[str, str] = {
                cast(coalesce(sum(removed) over (partition by part, bit), 0) as bigint) as shapley
         from x
     """,
+    "op13_benchmark_decontamination": r"""
+        with d as (
+            select row_number() over () as row, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from documents
+        ), b as (
+            select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from benchmark
+        ), g as (
+            select distinct item_id, least(len(w), 10) as n, list_slice(w, i, i + least(len(w), 10) - 1) as gram
+            from b, unnest(range(1, len(w) - least(len(w), 10) + 2)) t(i) where len(w) > 0
+        ), win as (
+            select row, i, n, list_slice(w, i, i + n - 1) as gram from d, (select distinct n from g) l, unnest(range(1, len(w) - n + 2)) t(i)
+        ), hit as (
+            select row, i, win.n, item_id from win join g on win.n = g.n and win.gram = g.gram
+        ), word as (
+            select row, count(distinct i + k) as n_hit from (select distinct row, i, n from hit) h, unnest(range(0, n)) t(k) group by 1
+        ), named as (
+            select row, count(*) as n_items, string_agg(cast(item_id as varchar), ',' order by cast(item_id as varchar)) as names
+            from (select distinct row, item_id from hit where item_id is not null) group by 1
+        )
+        select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 as contaminated
+        from d left join word using (row) left join named using (row)
+    """,
 }
