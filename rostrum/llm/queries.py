@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import audit, fingerprints, langid, leaks, mixing, near, packing, quality, repeats, secrets, sharding, topk
+from . import audit, fingerprints, langid, leaks, mixing, near, negatives, packing, quality, repeats, secrets, sharding, topk
 from .common import id_crc, table
 
 
@@ -78,6 +78,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.quantized(table(spark, sf_dir, "embeddings"), label), F.col("vec_id") % 100 == 0)
+
+
 def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     names = F.array_sort(F.col("items").cast("array<string>"))
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
     "op11_filter_audit": op11_filter_audit,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {
@@ -205,6 +211,28 @@ ORACLES: dict[str, str] = {
                cast(coalesce(sum(removed) over (partition by part, bit), 0) as bigint) as shapley
         from x
     """,
+    "op12_hard_negatives": """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where embedding is not null and vec_id is not null and label is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scored as (
+            select distinct a.vec_id as anchor_id, c.vec_id, a.label = c.label as alike,
+                   cast(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+            from v a join v c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id and len(a.v) = len(c.v)
+        ), p as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scored where alike
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        ), n as (
+            select p.*, s.vec_id as negative_id, s.score as negative_score,
+                   row_number() over (partition by anchor_id, positive_id order by s.score desc, s.vec_id) as rank
+            from p join scored s using (anchor_id)
+            where not alike and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score
+        )
+        select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= 10
+    """,
     "op13_benchmark_decontamination": r"""
         with d as (
             select row_number() over () as row, doc_id,
