@@ -1,4 +1,4 @@
-"""Connected components of a graph given as edges, by label propagation with pointer jumping."""
+"""Connected components of a graph given as edges, by randomized contraction."""
 
 from __future__ import annotations
 
@@ -10,25 +10,33 @@ from .common import discard, materialize
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of each vertex of ``edges`` (a, b); a component is named by its least vertex.
 
-    Each round takes the least label around a vertex, by an aggregate with a partial step, so that a
-    vertex of very many edges is no single task's work; then labels jump to their label's label, which
-    halves long chains.  Labels only ever fall, and a round without change ends the loop.
+    In each round a vertex joins the one that comes first among itself and its neighbours, in an order by a hash that is
+    new in every round, and the edges between what has joined make the next round's graph.  Whatever the shape of the
+    graph and the order of its ids, a round is expected to leave a fixed share of the vertices at most, so that rounds
+    are logarithmic and all rounds together cost a few times the first.  The aggregate has a partial step: a vertex of
+    very many edges is no single task's work.  At the end the rounds' choices are put together, last round first.
     """
     both = edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = materialize(both, "edges")
-    if both.isEmpty():
+    chosen: list[DataFrame] = []
+    while not both.isEmpty():
+        order = lambda c, k=len(chosen): F.struct(F.xxhash64(c, F.lit(k)).alias("place"), F.col(c).alias("to"))
+        first = both.groupBy("a").agg(F.least(F.min(order("b")), order("a")).alias("first"))
+        to = materialize(first.select(F.col("a").alias("id"), "first.to"), "joined")
+        chosen.append(to)
+        ends = both.join(to.select(F.col("id").alias("a"), F.col("to").alias("x")), "a").join(to.select(F.col("id").alias("b"), F.col("to").alias("y")), "b")
+        left = materialize(ends.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        discard(both)
+        both = left
+    if not chosen:
         return both.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    labels = materialize(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("near")).select("id", F.least("id", "near").alias("component")), "components")
-    while True:
-        near = both.join(labels, both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
-        met = labels.join(near, "id").select("id", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        met = materialize(met, "met")
-        jumped = met.alias("x").join(met.select(F.col("id").alias("to"), F.col("component").alias("next")), F.col("component") == F.col("to")).select("id", "old", F.least("component", "next").alias("component"))
-        jumped = materialize(jumped, "components")
-        changed = not jumped.where("component <> old").isEmpty()
-        discard(met)
-        discard(labels)
-        labels = jumped
-        if not changed:
-            discard(both)
-            return labels.select("id", "component")
+    discard(both)
+    found = chosen.pop()
+    for to in reversed(chosen):
+        later = found.select(F.col("id").alias("to"), F.col("to").alias("last"))
+        further = materialize(to.join(later, "to", "left").select("id", F.coalesce("last", "to").alias("to")), "components")
+        discard(found)
+        discard(to)
+        found = further
+    least = found.groupBy("to").agg(F.least(F.min("id"), F.col("to")).alias("component"))
+    return materialize(found.join(least, "to").select("id", "component"), "components")

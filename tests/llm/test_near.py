@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from rostrum.llm import near
+from rostrum.llm.common import materialize
 from rostrum.llm.components import components
 
 from . import corpus
@@ -144,6 +145,31 @@ def test_components_of_a_long_path(spark):
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 2000: 1000}
 
 
+def test_components_take_few_rounds_whatever_the_ids(spark, monkeypatch):
+    from rostrum.llm import components as module
+
+    written = []
+    monkeypatch.setattr(module, "materialize", lambda df, label="": written.append(label) or materialize(df, label))
+    name = np.random.default_rng(3).permutation(3001).tolist()
+    edges = spark.createDataFrame([(name[i], name[i + 1]) for i in range(3000) if i != 1000] + [(9000 + k, 9999) for k in range(200)], "a long, b long")
+    got = {r["id"]: r["component"] for r in components(edges).collect()}
+    assert got == {v: min(part) for part in (name[:1001], name[1001:]) for v in part} | {9000 + k: 9000 for k in range(200)} | {9999: 9000}
+    assert written.count("joined") <= 20
+
+
+def test_components_against_sets(spark):
+    rng = np.random.default_rng(5)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))]
+    part = {v: {v} for e in edges if e[0] != e[1] for v in e}
+    for a, b in edges:
+        if a != b and part[a] is not part[b]:
+            part[a] |= part[b]
+            part |= {v: part[a] for v in part[a]}
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {v: min(p) for v, p in part.items()}
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long")).collect() == []
+
+
 def test_overlaps_agree_with_sets():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 90, rng.integers(1, 60)).astype(np.uint64)) for _ in range(30)]
