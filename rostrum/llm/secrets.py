@@ -2,8 +2,8 @@
 operations only: the patterns are SQL regular expressions, the forest is the one of Spark's own
 machine-learning library, which scores on the JVM.
 
-A candidate is a value assigned to a name with a credential word in it, or a run of 16 or more token
-characters with a digit, without the ``name=`` in front of it.  A quoted value ends at its quote; another
+A candidate is a value assigned to a name with a credential word in it and at most 128 characters after that word, or
+a run of 16 or more token characters with a digit, without the ``name=`` (up to eight of them) in front of it.  A quoted value ends at its quote; another
 one loses the full stop, comma, colon or semicolon at its end.  The features are length, character classes
 and their transitions, how likely its letters follow each other, variety, coverage by the words of a
 dictionary, the words before and after it, and the path of its document.  Letter transitions and dictionary
@@ -40,13 +40,14 @@ SYLLABLES = ["th", "he", "in", "er", "an", "re", "on", "at", "en", "nd", "sch",
 
 _NAME = "(?i:" + "|".join(NAMES) + ")"
 _FIRST = r"(?<![A-Za-z0-9+/=_.~-])"
-# the rest of a name after its credential word: API_KEY_PROD, token_01, secret2
-_REST = r"(?:[_.-][A-Za-z0-9_.-]*+|[0-9]*+)"
+# the rest of a name after its credential word: API_KEY_PROD, token_01, secret2.  Bounded, as a run may hold many such
+# words, and each is tried
+_REST = r"(?:[_.-][A-Za-z0-9_.-]{0,127}+|[0-9]{0,128}+)"
 _HEAD = r"[A-Za-z0-9+/=_.~-]*?" + _NAME + _REST + r"""["']?[ \t]{0,3}[:=][ \t]{0,3}["']?(?=[^\s"'<>\x01\x02]{8})"""
 _ASSIGNED = _HEAD + r"""[^\s"'<>\x01\x02]{8,}"""
 _RUN = r"(?=[A-Za-z+/=_.~-]*+[0-9])[A-Za-z0-9+/=_.~-]{16,}+"
-# another name in front of a run; what is left is a run still
-_LEADING = r"(?:[A-Za-z_][A-Za-z0-9_.-]*+=(?!=)(?=" + _RUN + "))+"
+# other names in front of a run, eight at most; what is left is a run still
+_LEADING = r"(?:[A-Za-z_][A-Za-z0-9_.-]*+=(?!=)(?=" + _RUN + ")){1,8}"
 CANDIDATE = f"{_FIRST}({_ASSIGNED}|{_RUN})"
 _VALUE = f"^({_HEAD}|{_LEADING})?(.*)$"
 _QUOTED = r"""["'][^"']*$"""

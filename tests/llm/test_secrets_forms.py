@@ -73,3 +73,13 @@ def test_shapes_that_the_generator_never_made(spark, small):
     hit = {r["doc_id"] for r in secrets.scan(docs, secrets.train(spark, known)).collect()}
     right = sum(texts[i][1] for i in hit)
     assert right >= 0.9 * 120 and right >= 0.9 * len(hit)
+
+
+@pytest.mark.parametrize("text,values", [("token_" * 40_000 + " 1", 0), ("a=" * 60_000 + "1", 1), ("password" * 30_000, 0), ("secret-token." * 20_000 + f"={HEX}", 1)])
+def test_long_runs_of_credential_words_take_linear_time(spark, text, values):
+    import time
+
+    docs = spark.createDataFrame([(1, text, "")], "doc_id long, text string, path string")
+    began = time.perf_counter()
+    assert secrets.candidates(docs).count() == values
+    assert time.perf_counter() - began < 30  # over 100 s where every word's rest was read to its end
