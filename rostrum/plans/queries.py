@@ -182,16 +182,6 @@ def member_contributions(spark, d):
     return filters.contributions(read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey", 7, "o_orderkey").drop("o_custkey")
 
 
-@query("""select c_custkey, c_name, n_name as contact, r_name as synopsis from customer
-    left join nation on n_nationkey = c_nationkey and n_nationkey % 2 = 0 left join region on r_regionkey = n_regionkey""")
-def member_detail_merge(spark, d):
-    people = read_table(spark, d, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("id"))
-    nation = read_table(spark, d, "nation").where("n_nationkey % 2 = 0")
-    contact = nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("contact"))
-    synopsis = nation.join(read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("id"), F.col("r_name").alias("synopsis"))
-    return members.detail(people, contact, synopsis).select("c_custkey", "c_name", "contact", "synopsis")
-
-
 @query("""select c_custkey, c_name, n_name as contact, r_name as synopsis from customer
     left join nation on n_nationkey = c_nationkey left join region on r_regionkey = n_regionkey""")
 def member_detail_merge_whole(spark, d):
@@ -231,18 +221,6 @@ def _state(spark, d, cond):
     return read_table(spark, d, "customer").where(cond).select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_custkey").alias("pos"))
 
 
-@query("""select c_custkey as id, c_name as name, c_custkey as pos from customer where c_custkey < 50
-    union all select s_suppkey + 40, s_name, 49 + 1 + s_suppkey from supplier where s_suppkey + 40 >= 50""")
-def watchlist_add(spark, d):
-    new = read_table(spark, d, "supplier").select((F.col("s_suppkey") + 40).alias("id"), F.col("s_name").alias("name"), F.col("s_suppkey").alias("pos"))
-    return state.add_absent(_state(spark, d, "c_custkey < 50"), new)
-
-
-@query("select c_custkey as id, c_name as name, c_custkey as pos from customer where c_custkey < 50 and c_custkey not in (3, 7, 1000)")
-def watchlist_remove(spark, d):
-    return state.remove(_state(spark, d, "c_custkey < 50"), [3, 7, 1000])
-
-
 @query("""select c_custkey as id, c_name as name, c_custkey as pos from customer
     union all select p_partkey, p_name, (select max(c_custkey) + 1 from customer) + p_partkey from part where p_partkey not in (select c_custkey from customer)""")
 def watchlist_add_whole(spark, d):
@@ -453,14 +431,6 @@ def member_lookup(spark, d):
     return filters.lookup(read_table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", 11)
 
 
-@query("""select c_custkey, r_name as synopsis from customer left join (select n_nationkey, r_name from nation join region on n_regionkey = r_regionkey where n_nationkey % 2 = 0) on c_nationkey = n_nationkey""")
-def member_synopsis(spark, d):
-    nation = read_table(spark, d, "nation").where("n_nationkey % 2 = 0")
-    synopsis = nation.join(read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("synopsis"))
-    people = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    return people.join(members.synopsis_of(people.select("c_nationkey").distinct(), synopsis, "c_nationkey"), "c_nationkey").select("c_custkey", "synopsis")
-
-
 @query("select c_custkey, r_name as synopsis from customer left join (select n_nationkey, r_name from nation join region on n_regionkey = r_regionkey) on c_nationkey = n_nationkey")
 def member_synopsis_whole(spark, d):
     synopsis = read_table(spark, d, "nation").join(read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("synopsis"))
@@ -495,13 +465,6 @@ def keyword_top_hits(spark, d):
     return hits.select("kw_ord", "keyword", "doc_id", F.col("rn").cast("bigint").alias("rn"))
 
 
-@query("""select conv_id as debate_id, turn as pos, conv_id % 2 = 0 as watched from conversations""")
-def transcript_with_watch(spark, d):
-    rows = read_table(spark, d, "conversations").select(F.col("conv_id").alias("debate_id"), F.col("turn").alias("pos"))
-    watched = rows.where("debate_id % 2 = 0").select(F.col("debate_id").alias("id"))
-    return members.with_watch_flag(rows, watched, "debate_id")
-
-
 @query("select conv_id as debate_id, turn as pos, conv_id in (select conv_id from conversations) as watched from conversations")
 def transcript_with_watch_whole(spark, d):
     rows = read_table(spark, d, "conversations").select(F.col("conv_id").alias("debate_id"), F.col("turn").alias("pos"))
