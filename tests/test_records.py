@@ -142,7 +142,7 @@ def test_snapshots_replace_each_other(spark, tmp_path):
     shelf.write(state.add_absent(shelf.read().withColumn("pos", F.lit(0)), spark.createDataFrame([(2, None, 0)], WATCH)))
     shelf.write(shelf.read().withColumn("pos", F.lit(0)).where("id = 2"))
     assert [(r["id"], r["name"]) for r in shelf.read().collect()] == [(2, None)]
-    current = next(p for p in sorted((tmp_path / "watch").iterdir())[::-1])
+    current = tmp_path / "watch" / shelf._data(shelf.version())
     for f in current.glob("part*"):
         f.write_text("{not json\n")
         (current / f".{f.name}.crc").unlink(missing_ok=True)
@@ -225,3 +225,33 @@ def test_dates_labels_and_links(spark):
 @pytest.mark.parametrize("value,want", [("12abc", 12), (" -3", -3), ("x", None), (None, None), ("99999999999999999999", None)])
 def test_leading_int(spark, value, want):
     assert one(spark, parse.leading_int, value) == want
+
+
+def test_two_writers_from_one_version_are_both_kept(spark, tmp_path):
+    shelf, other = (sinks.Snapshots(spark, str(tmp_path / "w"), WATCH) for _ in range(2))
+    shelf.write(spark.createDataFrame([(1, "a", 0)], WATCH))
+    base = shelf.version()
+    mine, theirs = shelf.read(), other.read()
+    assert other.commit(theirs.withColumn("pos", F.lit(0)).unionByName(spark.createDataFrame([(2, "b", 1)], WATCH)), base) == base + 1
+    with pytest.raises(sinks.Conflict):
+        shelf.commit(mine.withColumn("pos", F.lit(0)).unionByName(spark.createDataFrame([(3, "c", 2)], WATCH)), base)
+    assert {r["id"] for r in shelf.read().collect()} == {1, 2}
+    shelf.update(lambda rows: rows.withColumn("pos", F.col("id").cast("int")).unionByName(spark.createDataFrame([(3, "c", 3)], WATCH)))
+    assert [r["id"] for r in other.read().collect()] == [1, 2, 3]
+    names = {p.name.split("-")[0] for p in (tmp_path / "w").iterdir() if not p.name.startswith(".")}
+    assert names == {"commit", "data"} and len(list((tmp_path / "w").glob("data-*"))) == 2
+
+
+def test_many_writers_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path / "w")
+    sinks.Snapshots(spark, root, WATCH).write(spark.createDataFrame([(0, "a", 0)], WATCH))
+
+    def add(k):
+        return sinks.Snapshots(spark, root, WATCH).update(lambda rows: rows.withColumn("pos", F.col("id").cast("int")).unionByName(spark.createDataFrame([(k, "x", k)], WATCH)))
+
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(add, range(1, 5)))
+    assert sorted(versions) == [2, 3, 4, 5]
+    assert [r["id"] for r in sinks.Snapshots(spark, root, WATCH).read().collect()] == [0, 1, 2, 3, 4]
