@@ -1,11 +1,13 @@
-"""Registered queries whose second input is a table too: keyword tables."""
+"""Further registered queries over whole tables: keyword tables, writers of one state, slices of any depth."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import keywords, topics
+from ..operators import keywords, slices, state, topics
+from ..sources import sinks
 from ..sources.documents import read_table
+from .more_queries import _scratch
 from .queries import query
 
 
@@ -45,3 +47,43 @@ def keyword_table_totals(spark, d):
     docs = read_table(spark, d, "documents").select("doc_id", "text")
     hits = keywords.all_hits(docs, _words(spark, d, "benchmark", "item_id", "text"), "text")
     return hits.groupBy("kw_ord", "keyword").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_doc"))
+
+
+@query("""select c_custkey as id, c_name as name from customer where c_acctbal >= 0
+    union all select p_partkey, p_name from part where p_partkey not in (select c_custkey from customer where c_acctbal >= 0)""")
+def watchlist_two_writers(spark, d):
+    """SNK-3, SRC-13: two writers start from one version; the slower one's change is applied to the faster one's rows."""
+    people = read_table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_custkey").alias("pos"), "c_acctbal")
+    parts = read_table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_partkey").alias("pos"))
+    kept = sinks.Snapshots(spark, _scratch(spark), "id bigint, name string, pos bigint")
+    kept.write(people.drop("c_acctbal"))
+    faster = []
+
+    def remove(rows: DataFrame) -> DataFrame:
+        return state.remove_all(rows, people.where("c_acctbal < 0")).withColumn("pos", F.col("id"))
+
+    def add(rows: DataFrame) -> DataFrame:
+        if not faster:  # the other writer commits between this one's reading and writing
+            faster.append(sinks.Snapshots(spark, kept.root, "id bigint, name string, pos bigint").update(remove))
+        return state.add_absent(rows.withColumn("pos", F.col("id")), parts)
+
+    kept.update(add)
+    return kept.read()
+
+
+@query("""select o_orderkey, o_totalprice, place from (select o_orderkey, o_totalprice, row_number() over (order by o_totalprice desc, o_orderkey) - 1 as place, count(*) over () as n from orders)
+    where place >= n - 40 and place < n - 15""")
+def deep_slice(spark, d):
+    """LIM-2: a page near the end of all orders, by price."""
+    rows = read_table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    ranked = slices.Ranked.build(rows, [F.col("o_totalprice").desc(), F.col("o_orderkey")], _scratch(spark), 64)
+    return ranked.slice(ranked.count - 40, 25)
+
+
+@query("""select conv_id, turn, place from (select conv_id, turn, row_number() over (order by conv_id, turn) - 1 as place, count(*) over () as n from conversations)
+    where place >= n // 2 - 5 and place < n // 2 + 25""")
+def deep_visible_slice(spark, d):
+    """WIN-3: what a list shows from the middle of all turns on."""
+    rows = read_table(spark, d, "conversations").select("conv_id", "turn")
+    ranked = slices.Ranked.build(rows, [F.col("conv_id"), F.col("turn")], _scratch(spark), 64)
+    return ranked.visible(ranked.count // 2, 20)
