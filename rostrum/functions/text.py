@@ -3,21 +3,13 @@
 from __future__ import annotations
 
 import re
-from html import escape
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-MARK = '<mark class="highlight-match">'
+from .markup import sanitise
 
-# What the sanitiser lets through.
-ALLOWED_TAGS = ["b", "i", "em", "strong", "a", "p", "br", "ul", "ol", "li", "span", "div", "mark", "sub", "sup", "blockquote"]
-ALLOWED_ATTRIBUTES = ["href", "class", "target", "rel"]
-# Schemes of addresses that the sanitiser lets through.
-ALLOWED_SCHEMES = ["http", "https", "ftp", "ftps", "mailto", "tel", "callto", "sms", "cid", "xmpp", "matrix"]
-#: Elements whose content goes with them.
-DROPPED_WHOLE = ["script", "style", "template", "iframe", "noscript", "noembed", "noframes", "object", "svg", "math", "title", "textarea", "xmp"]
+MARK = '<mark class="highlight-match">'
 
 
 def missing(c: Column) -> Column:
@@ -80,75 +72,9 @@ def stripped(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", ""), r"(?s)<[^>]*>", "")
 
 
-class _Sanitiser(HTMLParser):
-    """Allow-list over a stream of tags.  Open allowed elements are closed at the end."""
-
-    void = frozenset(["br"])
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.out: list[str] = []
-        self.open: list[str] = []
-        self.skipped: list[str] = []
-
-    def handle_starttag(self, tag, attrs):
-        if tag in DROPPED_WHOLE:
-            self.skipped.append(tag)
-        elif not self.skipped and tag in ALLOWED_TAGS:
-            kept = "".join(f' {k}="{escape(v or "", quote=True)}"' for k, v in attrs if k in ALLOWED_ATTRIBUTES and _safe(k, v))
-            self.out.append(f"<{tag}{kept}>")
-            if tag not in self.void:
-                self.open.append(tag)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag in DROPPED_WHOLE:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        if self.skipped:
-            if tag == self.skipped[-1]:
-                self.skipped.pop()
-        elif tag in self.open:
-            while self.open:
-                last = self.open.pop()
-                self.out.append(f"</{last}>")
-                if last == tag:
-                    break
-
-    def handle_data(self, data):
-        if not self.skipped:
-            self.out.append(escape(data, quote=False))
-
-    def result(self) -> str:
-        self.close()
-        return "".join(self.out) + "".join(f"</{t}>" for t in reversed(self.open))
-
-
-def _safe(name: str, value: str | None) -> bool:
-    """An address within the site, or one whose scheme is allowed.  Blanks and controls do not hide a scheme."""
-    if name != "href":
-        return True
-    address = "".join(c for c in value or "" if c.isprintable() and not c.isspace())
-    scheme, colon, _ = address.partition(":")
-    has_scheme = colon and not any(mark in scheme for mark in "/?#")
-    return not has_scheme or scheme.lower() in ALLOWED_SCHEMES
-
-
-def sanitise(html: str | None) -> str:
-    """One document through the allow-list; null and empty give the empty string."""
-    if not html:
-        return ""
-    if "<" not in html:
-        return html
-    parser = _Sanitiser()
-    parser.feed(html)
-    return parser.result()
-
-
 @F.pandas_udf(T.StringType())
 def sanitised(html: pd.Series) -> pd.Series:
-    """The allow-list (STR-12).  A parser is needed, so this one runs in Python, in Arrow batches."""
+    """The allow-list (STR-12).  Trees are needed, so this one runs in Python, in Arrow batches."""
     return html.map(sanitise)
 
 

@@ -234,7 +234,7 @@ _MARKUP = [
     (5, '<a href="HTTPS://example.org/a?b=1&amp;c=2" onclick="go()">out</a>', '<a href="HTTPS://example.org/a?b=1&amp;c=2">out</a>'),
     (6, '<a href=" java\tscript:alert(1)">bad</a> <a href="data:text/html,x">worse</a>', "<a>bad</a> <a>worse</a>"),
     (7, '<a href="/in/site:here" rel="next">in</a> <a href="mailto:a@example.org">mail</a>', '<a href="/in/site:here" rel="next">in</a> <a href="mailto:a@example.org">mail</a>'),
-    (8, "<ul><li>one<li>two</ul> 1 < 2", "<ul><li>one<li>two</li></li></ul> 1 &lt; 2"),
+    (8, "<ul><li>one<li>two</ul> 1 < 2", "<ul><li>one</li><li>two</li></ul> 1 &lt; 2"),
     (9, "<blockquote>left <em>open", "<blockquote>left <em>open</em></blockquote>"),
     (10, "<iframe src='x'>hidden</iframe><sup>2</sup><!-- note --><sub>n</sub>", "<sup>2</sup><sub>n</sub>"),
     (11, "", ""),

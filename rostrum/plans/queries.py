@@ -353,13 +353,35 @@ def strip_markup(spark, d):
     return read_table(spark, d, "pages").select("page_id", F.md5(text.stripped(F.col("html"))).alias("bare"))
 
 
-@query()
+# The pages' articles open a <b> that nothing closes, so that by HTML's rules it goes on in every paragraph after, and in
+# the footer; of equal ones at most three go on.
+_CLEAN_SQL = r"""with cut as (
+        select page_id, html, regexp_replace(regexp_extract(html, '(?s)<body>(.*?)<article>', 1), '(?s)</?nav>|<!--.*?-->', '', 'g') as head,
+               regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) as title, string_split(regexp_extract(html, '(?s)</h1>(.*?)</article>', 1), '<p>') as parts,
+               regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1) as foot
+        from pages
+    ), deep as (
+        select *, list_transform(parts, lambda p, i: len(list_filter(parts[1:i], lambda x: starts_with(x, '<b>')))) as n from cut
+    ), body as (
+        select *, list_transform(parts[2:], lambda p, i: case
+                   when starts_with(p, '<b>') then '<p>' || repeat('<b>', least(n[i + 1] - 1, 3)) || p || repeat('</b>', least(n[i + 1] - 1, 3) + 1) || '</p>'
+                   else '<p>' || repeat('<b>', least(n[i + 1], 3)) || replace(p, '</p>', repeat('</b>', least(n[i + 1], 3)) || '</p>') end) as shown from deep
+    )
+    , text as (
+        select page_id, html, head || title || parts[1] || array_to_string(shown, '') || repeat('<b>', least(n[-1], 3)) || foot || repeat('</b>', least(n[-1], 3)) as t from body
+    ), plain as (  -- references to characters, the cut-off ones at the end of titles too, as they are read
+        select page_id, html, regexp_replace(replace(replace(replace(replace(replace(replace(t, '&lt;', chr(57345)), '&gt;', chr(57346)), '&quot;', '"'), '&#x27;', chr(39)), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g') as t from text
+    )
+    select page_id, case when coalesce(html, '') = '' then '' else replace(replace(replace(t, '&', '&amp;'), chr(57345), '&lt;'), chr(57346), '&gt;') end as clean from plain"""
+
+
+@query(_CLEAN_SQL)
 def sanitize_html(spark, d):
     ship(spark)
     return read_table(spark, d, "pages").select("page_id", text.sanitised(F.col("html")).alias("clean"))
 
 
-@query()
+@query(f"""select page_id, case when clean <> '' then regexp_replace(clean, '(?i)(the)', '<mark class="highlight-match">\\1</mark>', 'g') end as shown from ({_CLEAN_SQL})""")
 def sanitize_and_highlight(spark, d):
     ship(spark)
     return read_table(spark, d, "pages").select("page_id", text.shown(F.col("html"), TERM).alias("shown"))
