@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import keywords, slices, state, topics
+from ..operators import keywords, signatures, slices, state, topics
 from ..sources import sinks
 from ..sources.documents import read_table
 from .more_queries import _scratch
@@ -87,3 +87,11 @@ def deep_visible_slice(spark, d):
     rows = read_table(spark, d, "conversations").select("conv_id", "turn")
     ranked = slices.Ranked.build(rows, [F.col("conv_id"), F.col("turn")], _scratch(spark), 64)
     return ranked.visible(ranked.count // 2, 20)
+
+
+@query("select doc_id, source from documents where contains(lower(coalesce(text, '')), 'token =')")
+def signed_search(spark, d):
+    """FIL-4, SRC-3: the rows of a scan, from the parts that may hold the term."""
+    rows = read_table(spark, d, "documents").select("doc_id", "source", "text")
+    signed = signatures.Signed.build(rows, ["text"], _scratch(spark), 64, by=["doc_id"])
+    return signed.search("Token =", ["text"]).select("doc_id", "source")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rostrum.plans import cache, endpoints, more_queries, queries, validate as v  # noqa: F401
+from rostrum.plans import cache, endpoints, more_queries, queries, table_queries, validate as v  # noqa: F401
 from rostrum.sources.documents import read_table
 
 
