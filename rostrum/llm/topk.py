@@ -18,7 +18,8 @@ Defined cases: vectors that are null, or hold a null or a non-finite component,
 vectors of another length than the query's; rows with a null id take no part; a query is left out of
 its own candidates by id, with all rows of it; equal vectors tie, and the smaller id comes first; rows
 equal in id and vector count once, an id with several vectors is a candidate with each, and as a query
-has the best of all; a component or a score that no 64-bit integer holds is an error; fewer than k candidates give as many rows; extra
+has the best of all; a component or a score that no 64-bit integer holds counts as the nearest that one holds, so that no
+row ends a job; fewer than k candidates give as many rows; extra
 columns are dropped; an empty table gives an empty result.
 """
 
@@ -36,6 +37,8 @@ from ..session import ship
 #: Vectors of a shard, queries of a block: each vector is dealt once for every block, each query once for every shard.
 SHARD = 8192
 QUERIES = 8192
+#: What 64 bits hold.
+MOST = (1 << 63) - 1
 SCHEMA = "query_id long, vec_id long, score long"
 
 
@@ -45,7 +48,7 @@ def quantized(vectors: DataFrame, column: str = "embedding", scale: int = 256) -
 
     def floored(x: Column) -> Column:
         y = x.cast("double") * scale
-        return F.when(F.abs(y) < float(1 << 63), F.floor(y)).when(finite(x), F.raise_error(F.lit("a component is too large for 64 bits")).cast("bigint"))
+        return F.when(F.abs(y) < float(1 << 63), F.floor(y)).when(finite(x), F.when(y > 0, F.lit(MOST)).otherwise(F.lit(-MOST)))
 
     whole = F.transform(column, floored)
     fit = F.col("vec_id").isNotNull() & F.col(column).isNotNull() & F.forall(column, finite)
@@ -113,14 +116,12 @@ class Shard:
         about = q.astype(np.float64) @ self.by_term[:, other]
         off = np.abs(q.astype(np.float64)) @ np.abs(self.by_term[:, other]) * ((len(q) + 8) * 2.0**-52)
         if len(other) > k:
-            enter = about + off >= np.sort(about - off)[-k]
+            enter = np.clip(about + off, -MOST, MOST) >= np.sort(np.clip(about - off, -MOST, MOST))[-k]
             other = other[enter]
         asked = [int(x) for x in q]
-        scored = [(sum(a * b for a, b in zip(asked, map(int, self.whole[i]), strict=True)), int(self.ids[i])) for i in other]
-        best = sorted(scored, key=lambda r: (-r[0], r[1]))[:k]
-        if any(not -(1 << 63) <= s < 1 << 63 for s, _ in best):
-            raise OverflowError(f"a score of query {query_id} is too large for 64 bits")
-        return best
+        exact = lambda i: sum(a * b for a, b in zip(asked, map(int, self.whole[i]), strict=True))
+        scored = [(min(max(exact(i), -MOST), MOST), int(self.ids[i])) for i in other]
+        return sorted(scored, key=lambda r: (-r[0], r[1]))[:k]
 
 
 def _distinct(rows: pd.DataFrame, key: str) -> pd.DataFrame:
