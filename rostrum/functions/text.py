@@ -9,6 +9,9 @@ from pyspark.sql import Column, functions as F, types as T
 
 from .markup import sanitise
 
+#: White space, fixed values (STR-3).
+BLANK = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
+_BLANK_RUN = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in BLANK) + "]+"
 MARK = '<mark class="highlight-match">'
 
 
@@ -23,8 +26,7 @@ def or_default(c: Column, label: str) -> Column:
 
 def js_trim(c: Column) -> Column:
     """Without white space of any kind at either end (STR-3)."""
-    blank = "[\\s" + chr(0xFEFF) + "]+"
-    return F.regexp_replace(c, f"(?U)^{blank}|{blank}$", "")
+    return F.regexp_replace(c, f"^{_BLANK_RUN}|{_BLANK_RUN}\\z", "")
 
 
 def found_in(term: str, *columns: Column) -> Column:

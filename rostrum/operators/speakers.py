@@ -6,10 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.dates import day_key
 from ..functions.text import missing
-
-
-#: Ranges of places in which a day's rows are numbered.
-CELLS = 32
+from .places import CELLS, numbered
 
 
 def speakers(items: DataFrame, debate: str = "debate_id", pos: str = "pos") -> DataFrame:
@@ -32,19 +29,10 @@ def with_day(rows: DataFrame, date: str, day: str = "day") -> DataFrame:
     return rows.withColumn(day, day_key(F.col(date).cast("string")))
 
 
-def by_day(rows: DataFrame, date: str, pos: str) -> DataFrame:
-    """Rows of each day in input order: day, place (from 1) and the rows.
-
-    A day may hold any part of all rows: its rows are numbered in ``CELLS`` ranges of ``pos``, a number, each by a
-    task of its own, and the places before a range are added.  The driver sees one boundary a range.
-    """
-    cuts = sorted(set(rows.agg(F.percentile_approx(pos, [k / CELLS for k in range(1, CELLS)], 10_000)).first()[0] or []))
-    cell = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(pos))) if cuts else F.lit(0)
-    celled = with_day(rows, date).withColumn("_cell", cell)
-    inside = celled.withColumn("_inside", F.row_number().over(Window.partitionBy("day", "_cell").orderBy(pos)))
-    counts = celled.groupBy("day", "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("day", "_cell", (F.sum("_n").over(Window.partitionBy("day").orderBy("_cell")) - F.col("_n")).alias("_before"))
-    return inside.join(before, ["day", "_cell"]).withColumn("place", (F.col("_before") + F.col("_inside")).cast("bigint")).drop("_cell", "_inside", "_before")
+def by_day(rows: DataFrame, date: str, pos: str, cells: int = CELLS) -> DataFrame:
+    """Rows of each day in input order: day, place (from 1) and the rows.  A day may hold any part of all rows (see ``places``)."""
+    placed = numbered(with_day(rows, date), [F.col("day")], [F.col(pos)], "place", cells)
+    return placed.withColumn("place", F.col("place") + 1)
 
 
 def days(rows: DataFrame, date: str) -> DataFrame:

@@ -17,17 +17,18 @@ def _outcome(value: Column, *faults: tuple[Column, str]) -> Column:
 
 
 def text(raw: Column, *, longest: int = 500, required: bool = False, pattern: str | None = None) -> Column:
-    """VAL-1, STR-6: trimmed; lengths count code points."""
+    """VAL-1, STR-6: trimmed; lengths count UTF-16 units: a character beyond the first 65,536 is two."""
     bare = F.when(~missing(raw), js_trim(raw))
+    units = F.length(bare) + F.length(F.regexp_replace(bare, r"[\x{0}-\x{ffff}]", ""))
     form = (~bare.rlike(pattern)) if pattern else F.lit(False)
-    return _outcome(bare, (missing(raw) & F.lit(required), SAYS["missing"]), (F.coalesce(F.length(bare) > longest, F.lit(False)), SAYS["long"].format(most=longest)), (F.coalesce(form, F.lit(False)), SAYS["pattern"]))
+    return _outcome(bare, (missing(raw) & F.lit(required), SAYS["missing"]), (F.coalesce(units > longest, F.lit(False)), SAYS["long"].format(most=longest)), (F.coalesce(form, F.lit(False)), SAYS["pattern"]))
 
 
 def integer(raw: Column, *, least: int = 0, most: int = 10_000, default: int | None = None, required: bool = False) -> Column:
     """VAL-2: the integer that the text begins with."""
-    digits = F.regexp_extract(raw, r"^\s*([+-]?\d+)", 1)
+    digits = F.regexp_extract(js_trim(raw), r"^[+-]?\d+", 0)
     number = F.when(missing(raw), F.lit(default).cast("bigint")).otherwise(F.nullif(digits, F.lit("")).try_cast("bigint"))
-    return _outcome(number, (missing(raw) & F.lit(required), SAYS["missing"]), (~missing(raw) & number.isNull(), SAYS["number"]), (~missing(raw) & ~number.between(least, most), SAYS["range"].format(least=least, most=most)))
+    return _outcome(number, (missing(raw) & F.lit(required), SAYS["missing"]), (~missing(raw) & (digits == ""), SAYS["number"]), (~missing(raw) & ~F.coalesce(number.between(least, most), F.lit(False)), SAYS["range"].format(least=least, most=most)))
 
 
 def date(raw: Column, *, required: bool = False) -> Column:

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import Column, SparkSession, functions as F
 
 from ..functions import labels, text
-from ..operators import filters, speakers, state
+from ..operators import filters, places, speakers, state
 from ..session import ship
 from ..sources import documents, sinks
 from ..sources.documents import read_table
@@ -343,7 +343,8 @@ def removed_some(spark, d):
 def row_keys_by_place(spark, d):
     """PRJ-15: the place in the day's list where there is no id."""
     rows = read_table(spark, d, "orders").withColumn("day", _day("o_orderdate"))
-    return rows.select("o_orderkey", labels.indexed_key(F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")), F.col("day"), F.col("o_orderkey")).alias("row_key"))
+    named = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority"))
+    return places.with_index_key(rows, named, [F.col("day")], [F.col("o_orderkey")]).select("o_orderkey", "row_key")
 
 
 @query("select conv_id as debate_id, turn as pos from conversations where role = 'assistant' and contains(lower(text), 'the') order by 1, 2")

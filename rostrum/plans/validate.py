@@ -10,9 +10,9 @@ import datetime
 import re
 from collections.abc import Callable
 
+from ..functions.text import BLANK
+
 HOUSES = ("Commons", "Lords")
-#: White space as the original's trim has it.
-_BLANK = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
 
 #: What is said of a value, by what is wrong with it.
 SAYS = {
@@ -27,6 +27,9 @@ SAYS = {
     "house": "the house is either Commons or Lords",
 }
 
+#: An integer of more digits is out of any range; the first ones say so as well.
+DIGITS = 19
+
 Rule = tuple[str, Callable[[object], bool]]
 
 
@@ -63,7 +66,7 @@ def _on_calendar(value: str) -> bool:
 def text(value: str | None, *, longest: int = 500, required: bool = False, pattern: str | None = None) -> str | None:
     if not _given(value, required):
         return None
-    bare = _held(value, [("type", lambda v: isinstance(v, str))]).strip(_BLANK)
+    bare = _held(value, [("type", lambda v: isinstance(v, str))]).strip(BLANK)
     return _held(bare, [("long", lambda v: len(v.encode("utf-16-le")) // 2 <= longest), ("pattern", lambda v: not pattern or re.search(pattern, v))], most=longest)
 
 
@@ -71,8 +74,8 @@ def integer(value, *, least: int = 0, most: int = 10_000, default: int | None =
     """The integer that the value begins with: ``12abc`` is 12."""
     if not _given(value, required):
         return default
-    found = _held(re.match(r"[+-]?\d+", str(value).lstrip(_BLANK), re.ASCII), [("number", bool)])
-    return _held(int(found[0]), [("range", lambda n: least <= n <= most)], least=least, most=most)
+    found = _held(re.match(r"[+-]?\d+", str(value).lstrip(BLANK), re.ASCII), [("number", bool)])
+    return _held(int(found[0].lstrip("+-0")[:DIGITS] or "0") * (-1 if found[0][0] == "-" else 1), [("range", lambda n: least <= n <= most)], least=least, most=most)
 
 
 def date(value: str | None, *, required: bool = False) -> str | None:
