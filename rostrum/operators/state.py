@@ -48,6 +48,45 @@ def update(state: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
     return met.select(*[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in named else F.col(c) for c in state.columns])
 
 
+def replay(state: DataFrame, log: DataFrame, key: str = "id", seq: str = "seq", op: str = "op") -> DataFrame:
+    """``state`` after a log of changes in the order of ``seq`` (SET-2 to SET-6 over tables).
+
+    ``put`` adds a row whose key is absent, else it does nothing; ``set`` replaces the columns that it names in a row that
+    is there, a null leaves one; ``remove`` takes the row away.  Of one seq, removals come first, then puts, of which the
+    least row counts, then sets, of which the greatest value counts.  Entries without key or seq, and of any other op, do
+    nothing; columns that the log lacks stay as they are, or are null in added rows.  Keys of ``state`` are distinct.
+
+    The fold needs no order of rows: a key's last removal decides which entries still count, its first put after that
+    whether and from where on there is a row, and each column's last set after that its value.  All three are aggregates
+    with partial steps, so a key with any share of the log is reduced before it is shuffled; joins are by key, with one
+    row a key on one side.
+    """
+    ops = ["remove", "put", "set"]
+    rest = [c for c in state.columns if c != key]
+    kinds = {c: state.schema[c].dataType for c in rest}
+    quoted = lambda c: F.col(f"`{c}`")
+    value = lambda c: (quoted(c) if c in log.columns else F.lit(None)).cast(kinds[c])
+    at = F.struct(quoted(seq).alias("seq"), F.array_position(F.array(*map(F.lit, ops)), quoted(op)).alias("op"))
+    row = F.struct(*[value(c).alias(f"c{k}") for k, c in enumerate(rest)])
+    entries = log.where(quoted(key).isNotNull() & quoted(seq).isNotNull() & quoted(op).isin(*ops)).select(quoted(key).cast(state.schema[key].dataType).alias("_key"), at.alias("_at"), row.alias("_new"))
+    is_op = lambda name: F.col("_at.op") == ops.index(name) + 1
+
+    gone = entries.where(is_op("remove")).groupBy("_key").agg(F.max("_at").alias("_gone"))
+    alive = entries.where(~is_op("remove")).join(gone, "_key", "left").where(F.col("_gone").isNull() | (F.col("_at") > F.col("_gone"))).drop("_gone")
+    first = alive.where(is_op("put")).groupBy("_key").agg(F.min(F.struct("_at", "_new")).alias("_put"))
+    old = state.select(quoted(key).alias("_key"), F.struct(*[quoted(c).alias(f"c{k}") for k, c in enumerate(rest)]).alias("_old"))
+    rows = old.join(gone, "_key", "left_anti").join(first, "_key", "full")
+    rows = rows.select("_key", F.when(F.col("_old").isNull(), F.col("_put._at")).alias("_from"), F.coalesce("_old", "_put._new").alias("_row"))
+
+    named = [k for k, c in enumerate(rest) if c in log.columns]
+    if named:
+        sets = alive.where(is_op("set")).join(rows.select("_key", "_from"), "_key").where(F.col("_from").isNull() | (F.col("_at") > F.col("_from")))
+        last = sets.groupBy("_key").agg(*[F.max(F.when(F.col(f"_new.c{k}").isNotNull(), F.struct("_at", F.col(f"_new.c{k}").alias("value")))).alias(f"_set{k}") for k in named])
+        rows = rows.join(last, "_key", "left")
+    shown = {c: F.coalesce(F.col(f"_set{k}.value"), F.col(f"_row.c{k}")) if k in named else F.col(f"_row.c{k}") for k, c in enumerate(rest)} | {key: F.col("_key")}
+    return rows.select(*[shown[c].alias(c) for c in state.columns])
+
+
 def topic(spark, name: str, keywords: Sequence[str], topic_id: str | None = None) -> DataFrame:
     """A new topic's row; the id is the clock in milliseconds unless given (PRJ-19).  Blank keywords go, others stay
     as they are (FIL-7)."""

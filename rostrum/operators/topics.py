@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from .slices import Ranked
 
 # The seed topics.
 SEED_TOPICS = [
@@ -47,11 +49,28 @@ def ranking(hits: DataFrame, member: str, name: str, party: str, constituency: s
     order of keywords, then of rows.  Ties stand in that order too.  The ranks come from one sorted task: there
     are at most ``per_keyword`` members a keyword.
     """
+    found = _counted(hits, F.col("kw_ord").cast("bigint") * (1 << 32) + F.col("rn"), member, name, party, constituency, distinct_on)
+    rank = F.row_number().over(Window.orderBy(F.col("mentions").desc(), "pos"))
+    return found.withColumn("rank", rank.cast("bigint")).drop("pos")
+
+
+def _counted(hits: DataFrame, place: Column, member: str, name: str, party: str, constituency: str | None, distinct_on: str | None) -> DataFrame:
+    """member_id, name, party, constituency, mentions, pos."""
     kept = hits.where(F.col(member).isNotNull() & (F.col(member).cast("string") != "0") & (F.col(member).cast("string") != ""))
-    place = F.col("kw_ord").cast("bigint") * (1 << 32) + F.col("rn")
     none = F.lit(None).cast("string")
     kept = kept.select(F.col(member).alias("member_id"), place.alias("pos"), F.struct(F.col(name).alias("name"), F.col(party).alias("party"), (F.col(constituency) if constituency else none).alias("constituency")).alias("who"), *([F.col(distinct_on).alias("row_id")] if distinct_on else []))
     count = F.count_distinct("row_id") if distinct_on else F.count(F.lit(1))
     found = kept.groupBy("member_id").agg(count.alias("mentions"), F.min("pos").alias("pos"), F.min_by("who", "pos").alias("who"))
-    rank = F.row_number().over(Window.orderBy(F.col("mentions").desc(), "pos"))
-    return found.select("member_id", F.coalesce(F.nullif("who.name", F.lit("")), F.lit("Unknown")).alias("name"), "who.party", "who.constituency", "mentions", rank.cast("bigint").alias("rank"))
+    return found.select("member_id", F.coalesce(F.nullif("who.name", F.lit("")), F.lit("Unknown")).alias("name"), "who.party", "who.constituency", "mentions", "pos")
+
+
+def full_ranking(hits: DataFrame, key: str, member: str, name: str, party: str, path: str, ranges: int, constituency: str | None = None, distinct_on: str | None = None) -> Ranked:
+    """``ranking`` for hits and members of any number: laid out under ``path`` by ranges of (mentions, first hit), no task above
+    its range; slices of it are pages of the ranking, and ``place`` + 1 is the rank.
+
+    ``hits`` have kw_ord and ``key``, by which a member's first hit is found; no place within a keyword is needed, so no
+    keyword is numbered or cut.
+    """
+    found = _counted(hits, F.struct("kw_ord", F.col(key).alias("key")), member, name, party, constituency, distinct_on)
+    flat = found.select("*", F.col("pos.kw_ord").alias("first_keyword"), F.col("pos.key").alias("first_row")).drop("pos")
+    return Ranked.build(flat, [F.col("mentions").desc(), F.col("first_keyword"), F.col("first_row")], path, ranges)

@@ -1,12 +1,14 @@
-"""Further registered queries over whole tables: keyword tables, writers of one state, slices of any depth."""
+"""Further registered queries over whole tables: keyword tables, writers of one state, logs of changes, streams, slices of
+any depth, nested documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import keywords, signatures, slices, state, topics
-from ..sources import sinks
+from ..sources import documents, sinks
 from ..sources.documents import read_table
+from ..streaming.writes import FirstWrites
 from .more_queries import _scratch
 from .queries import query
 
@@ -95,3 +97,55 @@ def signed_search(spark, d):
     rows = read_table(spark, d, "documents").select("doc_id", "source", "text")
     signed = signatures.Signed.build(rows, ["text"], _scratch(spark), 64, by=["doc_id"])
     return signed.search("Token =", ["text"]).select("doc_id", "source")
+
+
+_WORDS = "select w as keyword, min(p_partkey) as kw_ord from (select p_partkey, unnest(string_split(lower(p_name), ' ')) as w from part) where trim(w) <> '' group by w"
+
+
+@query(f"""with hit as (select doc_id, source, kw_ord from documents join ({_WORDS}) on contains(lower(text), keyword) where doc_id <> 0)
+    select doc_id as member_id, case when coalesce(any_value(source), '') = '' then 'Unknown' else any_value(source) end as name, count(*) as mentions, row_number() over (order by count(*) desc, min(kw_ord), doc_id) as rank from hit group by doc_id""")
+def keyword_table_full_ranking(spark, d):
+    """AGG-2, SRT-2 without a limit by keyword: every document that holds a keyword of a table, ranked by how many it holds."""
+    docs = read_table(spark, d, "documents").select("doc_id", "source", "lang", "text")
+    hits = keywords.all_hits(docs, _words(spark, d, "part", "p_partkey", "p_name"), "text")
+    ranked = topics.full_ranking(hits, "doc_id", "doc_id", "source", "lang", _scratch(spark), 64)
+    return ranked.slice(0, ranked.count).select("member_id", "name", "mentions", (F.col("place") + 1).alias("rank"))
+
+
+@query("""with log as (select o_custkey as id, o_orderkey as seq, o_orderstatus as op, o_orderpriority as name, case when o_totalprice > 200000 then strftime(o_orderdate, '%Y-%m') end as segment from orders),
+    gone as (select id, max(seq) as g from log where op = 'P' group by id),
+    alive as (select log.* from log left join gone using (id) where g is null or seq > g),
+    put as (select id, min(seq) as since, arg_min(name, seq) as name, arg_min_null(segment, seq) as segment from alive where op = 'O' group by id),
+    old as (select c_custkey as id, c_name as name, c_mktsegment as segment from customer where c_acctbal >= 0 and c_custkey not in (select id from gone)),
+    held as (select id, -1 as since, name, segment from old union all select id, since, name, segment from put where id not in (select id from old)),
+    sets as (select id, arg_max(s.name, seq) filter (s.name is not null) as name, arg_max(s.segment, seq) filter (s.segment is not null) as segment from alive s join held using (id) where op = 'F' and seq > since group by id)
+    select held.id, coalesce(sets.name, held.name) as name, coalesce(sets.segment, held.segment) as segment from held left join sets using (id)""")
+def replayed_customers(spark, d):
+    """SET-2 to SET-6: every order is a change to its customer, who is added, changed column by column, or removed."""
+    people = read_table(spark, d, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    op = F.when(F.col("o_orderstatus") == "P", "remove").when(F.col("o_orderstatus") == "O", "put").when(F.col("o_orderstatus") == "F", "set")
+    month = F.date_format(F.when(F.col("o_totalprice") > 200000, F.col("o_orderdate")), "yyyy-MM")
+    log = read_table(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("seq"), op.alias("op"), F.col("o_orderpriority").alias("name"), month.alias("segment"))
+    return state.replay(people, log)
+
+
+@query("select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts, event_id) as n from events) where n = 1")
+def stream_first_writes(spark, d):
+    """SET-2 on a stream: all events, replayed in batches in no order of time."""
+    path = _scratch(spark)
+    events = read_table(spark, d, "events").select("user_id", "ts", "event_id", "event_type")
+    events.repartition(8, "event_id").write.parquet(f"{path}/events")
+    kept = FirstWrites(spark, f"{path}/first", "user_id", ["ts", "event_id"])
+    kept.start(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 3).parquet(f"{path}/events")).awaitTermination()
+    return kept.read().select("user_id", "event_id", "event_type")
+
+
+@query("""select cast(conv_id as varchar) as debate_id, role as "AttributedTo", row_number() over (partition by conv_id order by turn) - 1 as pos from conversations""")
+def nested_debates(spark, d):
+    """SRC-2, SRT-5: debates as nested JSON, in parts of at most 100 items in no order, read with two fields of the items."""
+    turns = read_table(spark, d, "conversations")
+    item = F.struct(F.xxhash64("conv_id", "turn").alias("mixed"), F.struct(F.concat_ws("-", "conv_id", "turn").alias("Id"), F.lit("Contribution").alias("ItemType"), F.col("text").alias("Value"), F.col("role").alias("AttributedTo"), F.col("turn").cast("int").alias("OrderIndex")).alias("item"))
+    parts = turns.groupBy("conv_id", F.floor(F.col("turn") / 100).alias("part")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    path = _scratch(spark)
+    parts.select(F.struct(F.col("conv_id").cast("string").alias("Id")).alias("Overview"), F.col("items.item").alias("Items")).write.json(path)
+    return documents.ordered_items(documents.read_debates(spark, path, ["AttributedTo"])).select("debate_id", "AttributedTo", "pos")
