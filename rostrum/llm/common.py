@@ -11,12 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import ship
-
-#: Rows and bytes a Python worker receives at once; keeps a batch of very long texts bounded.
-ARROW_ROWS = 500
-ARROW_BYTES = 16 << 20
-
+from ..session import ARROW_ROWS, bounded_batches  # noqa: F401  the operators take them from here
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names.  Where it is unset, a temporary one of this machine if all executors are
@@ -74,14 +69,6 @@ def sweep(spark: SparkSession) -> int:
     return len(paths)
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Get ready for Python workers: they have the package, and the rows and bytes of one Arrow batch are limited, so
-    that long texts stay within a worker's memory.  These two settings of the session stay so."""
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
-
-
 def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
     """The rows of small batches in tables of about ``rows``, none of them empty."""
     held, n = [], 0

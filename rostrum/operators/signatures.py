@@ -1,40 +1,79 @@
 """Substring search that skips data: q-gram signatures of parts (FIL-4, SRC-3).
 
 ``contains`` has to read every text.  ``Signed.build`` writes the rows once in parts, and beside them a signature of each
-part: a bit for every run of ``Q`` characters of its texts in lower case, by hash.  A term can only be in parts whose
+part: a bit for every run of ``Q`` bytes of its texts in lower case, by hash.  A term can only be in parts whose
 signatures have the bits of all its own runs; the others are skipped by partition pruning, and what is left is read and
 held against the term itself, so that the rows are those of the scan whatever the hashes do.
 
-Signatures are bitmaps of 4 KB, ``BITS / 32768`` of them a part, made by aggregates with partial steps; a search meets
-them by equality with a row for each run of the term.  The driver takes the numbers of the parts that are left: one a
-part at most, as for a list of files.  Terms shorter than ``Q`` skip nothing.
+Signatures are bitmaps of 4 KB, ``BITS / 32768`` of them a part.  A task passes over the bytes of its rows and holds the
+bits of one part, a megabyte however large the part is; what it gives are bitmaps, and those of one part are put together
+by an aggregate.  A search meets them by equality with a row for each run of the term.  The driver takes the numbers of
+the parts that are left: one a part at most, as for a list of files.  Terms shorter than ``Q`` skip nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from ..functions import runs
 from ..functions.text import found_in
+from ..session import bounded_batches
 
 Q = 4
 #: Bits of a part's signature.
 BITS = 1 << 20
+#: Bits of one bitmap, as Spark's aggregates have them.
+BITMAP = 1 << 15
 PART = "_part"
 
 
-def characters(text: Column) -> Column:
-    return F.split(F.lower(F.coalesce(text, F.lit(""))), "")
+def _low(text: str | Column) -> Column:
+    return F.lower(F.col(f"`{text}`") if isinstance(text, str) else text).cast("binary")
 
 
-def grams(chars: str) -> Column:
-    """The distinct bits of the runs of ``Q`` characters of a column of ``characters``; none for a shorter text.  A column
-    of its own: as one expression, the text would be split again for each run."""
-    last = F.size(chars) - Q
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.pmod(F.xxhash64(*[F.get(chars, i + k) for k in range(Q)]), F.lit(BITS)))
-    return F.array_distinct(F.when(last >= 0, runs).otherwise(F.array().cast("array<bigint>")))
+def grams(numbers: np.ndarray) -> np.ndarray:
+    """The bits of runs of ``Q`` bytes, given as numbers."""
+    return runs.slots(runs.cut(numbers, Q), BITS)
+
+
+def _signed(n_texts: int, bits: int):
+    """Signatures of the parts, whose rows stand together, as rows of their bitmaps; a part may come more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen = None, np.zeros(max(bits, BITMAP), bool)
+
+        def written() -> pa.RecordBatch:
+            maps = np.packbits(seen, bitorder="little").reshape(-1, BITMAP // 8)
+            used = np.flatnonzero(maps.any(1))
+            return pa.RecordBatch.from_arrays([pa.array([part] * len(used), pa.int32()), pa.array(used), pa.array([maps[k].tobytes() for k in used], pa.binary())], [PART, "bucket", "bits"])
+
+        for b in batches:
+            of = b.column(0).to_numpy()
+            borders = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            for start, end in zip(borders, borders[1:]):
+                if start == end:
+                    continue
+                if of[start] != part:
+                    if part is not None:
+                        yield written()
+                    part, seen[:] = of[start], False
+                for k in range(n_texts):
+                    data, at = runs.joined(b.column(k + 1).slice(start, end - start))
+                    whole = np.ones(len(data), bool)  # places whose run ends within their text
+                    for back in range(1, Q):
+                        last = at[1:] - back
+                        whole[last[last >= at[:-1]]] = False
+                    for a, full in runs.steps(data):
+                        seen[runs.slots(runs.cut(full[whole[a : a + len(full)]], Q), bits)] = True
+        if part is not None:
+            yield written()
+
+    return run
 
 
 class Signed:
@@ -53,11 +92,10 @@ class Signed:
         dealt.withColumn(PART, F.spark_partition_id()).write.partitionBy(PART).parquet(f"{path}/rows")
         rows.limit(0).write.parquet(f"{path}/columns")
         made = cls(spark, path)
-        split = made._rows().select(PART, *[characters(F.col(f"`{c}`")).alias(f"_{k}") for k, c in enumerate(text)])
-        seen = split.select(PART, F.concat(*[grams(f"_{k}") for k in range(len(text))]).alias("_grams"))
-        # outer: else the optimizer infers a filter on the number of runs and makes them again there
-        bits = seen.select(PART, F.explode_outer("_grams").alias("bit")).where(F.col("bit").isNotNull())
-        signed = bits.groupBy(PART, F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+        bounded_batches(spark)
+        low = made._rows().select(PART, *[_low(c).alias(f"_{k}") for k, c in enumerate(text)])
+        maps = low.mapInArrow(_signed(len(text), BITS), f"{PART} int, bucket long, bits binary")
+        signed = maps.groupBy(PART, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
         signed.write.parquet(f"{path}/signatures")
         return made
 
@@ -69,11 +107,13 @@ class Signed:
 
     def parts_for(self, term: str) -> list[int] | None:
         """The parts that may hold ``term``; None if it is too short to tell."""
-        if len(term) < Q or len(term.lower()) < Q:
+        low = bytes(self.spark.range(1).select(_low(F.lit(term)).alias("low")).first()["low"])
+        if len(low) < Q:
             return None
-        bits = [r[0] for r in self.spark.range(1).select(characters(F.lit(term)).alias("c")).select(F.explode(grams("c"))).collect()]
+        _, numbers = next(runs.steps(np.frombuffer(low, np.uint8)))
+        bits = sorted(set(grams(numbers[: len(low) - Q + 1]).tolist()))
         wanted = self.spark.range(1).select(F.explode(F.array(*[F.lit(b).cast("bigint") for b in bits])).alias("bit"))
-        wanted = wanted.select(F.bitmap_bucket_number("bit").alias("bucket"), F.bitmap_bit_position("bit").alias("at"), F.lit(len(bits)).alias("n"))
+        wanted = wanted.select(F.floor(F.col("bit") / BITMAP).alias("bucket"), (F.col("bit") % BITMAP).alias("at"), F.lit(len(bits)).alias("n"))
         held = self.spark.read.parquet(f"{self.path}/signatures").join(F.broadcast(wanted), "bucket")  # a row a run of the term
         byte = F.conv(F.hex(F.substring("bits", (F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         hit = F.pmod(F.call_function("shiftright", byte, (F.col("at") % 8).cast("int")), F.lit(2)) == 1

@@ -47,3 +47,24 @@ def test_empty_tables_and_reserved_names(spark, tmp_path):
     assert signed.search("needle", ["t"]).collect() == [] and signed.search("", ["t"]).collect() == []
     with pytest.raises(ValueError):
         Signed.build(spark.range(2).withColumn("_part", F.lit("a")), ["_part"], f"file://{tmp_path}/x", 2)
+
+
+def test_a_task_gives_bitmaps_not_a_row_for_each_run():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = ["".join(chr(rng.randint(97, 122)) for _ in range(20_000)) for _ in range(12)]
+    parts = [3] * 5 + [4] * 7
+    batches = [pa.RecordBatch.from_arrays([pa.array(parts[k : k + 4], pa.int32()), pa.array([None if x == 2 else texts[x].encode() for x in range(k, k + 4)], pa.binary())], ["_part", "_0"]) for k in range(0, 12, 4)]
+    made = [r for b in signatures._signed(1, signatures.BITS)(iter(batches)) for r in b.to_pylist()]
+    assert len(made) == len({(r["_part"], r["bucket"]) for r in made}) == 2 * signatures.BITS // signatures.BITMAP
+    for part in (3, 4):
+        maps = {r["bucket"]: r["bits"] for r in made if r["_part"] == part}
+        wanted = set()
+        for k, t in enumerate(texts):
+            if parts[k] == part and k != 2:
+                raw = np.frombuffer(t.encode(), np.uint8)
+                for _, full in signatures.runs.steps(raw[:3000]):
+                    wanted |= set(signatures.grams(full[: 3000 - signatures.Q + 1]).tolist())
+        assert all(maps[b // signatures.BITMAP][b % signatures.BITMAP // 8] >> b % 8 & 1 for b in wanted)
