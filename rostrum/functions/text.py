@@ -82,5 +82,6 @@ def sanitised(html: pd.Series) -> pd.Series:
 
 def shown(c: Column, term: str | None = None) -> Column:
     """What a reader sees: nothing for empty text; markup sanitised; matches marked (STR-8 to STR-11)."""
-    clean = F.when(is_markup(c), sanitised(c)).otherwise(c)
+    # Python functions run on all rows, whatever the condition around them: plain text does not travel
+    clean = F.when(is_markup(c), sanitised(F.when(is_markup(c), c))).otherwise(c)
     return F.when(~missing(c), highlighted(clean, term))
