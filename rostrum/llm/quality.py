@@ -144,9 +144,16 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column, max_labels: in
     met = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "quality", F.xxhash64("doc_id", "text").alias("place"))
     # a doc_id may have several rows: the bound holds for what reaches the driver, too
     rows = met.mapInArrow(_featurized, "idx array<int>, val array<float>, quality int, place long").orderBy("place", "quality").limit(max_labels).toArrow()
-    # a deterministic order whatever the order of arrival
-    got = sorted(zip(rows["quality"].to_pylist(), rows["idx"].to_pylist(), rows["val"].to_pylist(), strict=True))
-    return fit([(np.array(i, np.int64), np.array(v)) for _, i, v in got], np.array([q for q, _, _ in got]))
+    # a deterministic order whatever the order of arrival; big-endian bytes of numbers from 0 on are in the numbers' order
+    got = sorted((q, i.astype(">i4").tobytes(), v.astype(">f4").tobytes()) for q, i, v in zip(rows["quality"].to_pylist(), _lists(rows["idx"]), _lists(rows["val"]), strict=True))
+    return fit([(np.frombuffer(i, ">i4").astype(np.int64), np.frombuffer(v, ">f4").astype(float)) for _, i, v in got], np.array([q for q, _, _ in got]))
+
+
+def _lists(column: pa.ChunkedArray) -> Iterator[np.ndarray]:
+    """The lists of a column in numpy: as Python's numbers they would take the driver many times their size."""
+    for part in column.chunks:
+        at, values = part.offsets.to_numpy(), part.values.to_numpy()
+        yield from (values[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
 
 
 def _featurized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

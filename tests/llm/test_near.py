@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from rostrum.llm import near
@@ -157,6 +158,20 @@ def test_components_take_few_rounds_whatever_the_ids(spark, monkeypatch):
     assert written.count("joined") <= 20
 
 
+@pytest.mark.parametrize("rest", [0, 50, 1 << 16])
+def test_the_rest_of_a_graph_takes_no_rounds(spark, monkeypatch, rest):
+    from rostrum.llm import components as module
+
+    written = []
+    monkeypatch.setattr(module, "REST", rest)
+    monkeypatch.setattr(module, "materialize", lambda df, label="": written.append(label) or materialize(df, label))
+    name = np.random.default_rng(7).permutation(401).tolist()
+    edges = spark.createDataFrame([(name[i], name[i + 1]) for i in range(400) if i != 150] + [(900 + k, 999) for k in range(60)] + [(999, 900)], "a long, b long")
+    got = {r["id"]: r["component"] for r in components(edges).collect()}
+    assert got == {v: min(part) for part in (name[:151], name[151:]) for v in part} | {900 + k: 900 for k in range(60)} | {999: 900}
+    assert (written.count("joined") == 0) == (rest > 50) and (written.count("rest") == 1) == (rest > 0) and written.count("joined") <= 20
+
+
 def test_components_against_sets(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))]
